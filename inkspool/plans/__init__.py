@@ -1,0 +1 @@
+"""Whole workflows built from the operators."""

@@ -1,0 +1 @@
+"""Streaming forms of the observation operators (beyond the reference)."""
