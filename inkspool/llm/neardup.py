@@ -6,8 +6,9 @@ A tree branches the representatives: at a node, one or two coordinates are
 chosen (as many as 1 / similarity on average), and a document goes to the child
 named by its minwise value there. Documents that end in a node of their own are
 done; a small node is compared exhaustively, first by sketches, then on the full
-sets; in a large one every document is compared with the node's first, and if
-that does not unite the node it is branched on. TREES independent trees repeat
+sets; in a large one every document is compared with the node's first; the few
+documents that stay outside its component meet all others, and where they are
+many the node is branched on. TREES independent trees repeat
 this: a pair at the threshold meets in a tree with probability 0.64, so it is
 missed with probability 0.36 ** TREES, about 1e-9.
 
@@ -51,7 +52,7 @@ class Join:
     trees: int = 20
     depth: int = 3
     small: int = 24
-    deepest: int = 24
+    deepest: int = 8
     part: int = 4096
     sketch_share: float = 0.55
 
@@ -258,6 +259,18 @@ def _compare(small: int, share: float):
     return run
 
 
+def _agree(share: float):
+    """The pairs (a, b, x, y) whose sketches x and y agree enough."""
+
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                ok = pa.array((_sketches(batch.column(2)) == _sketches(batch.column(3))).sum(1) >= share * SIZE)
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], ["a", "b"])
+
+    return run
+
+
 def _sets(words: int):
     def run(batches):
         for batch in batches:
@@ -292,6 +305,8 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, join: Join = Join(),
     base = scratch.cut(texts.mapInArrow(_sketch(join.words), "doc_id long, n_shingles long, k1 long, k2 long, sketch binary"), "base")
     classes = base.filter("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.min("sketch").alias("sketch"))
     classes = scratch.cut(classes, "classes")
+    base = scratch.cut(base.drop("sketch"), "keys")
+    scratch.drop("base")
     sketches = classes.select("id", "sketch")
 
     def runs(rows: DataFrame, name: str) -> DataFrame:
@@ -315,24 +330,29 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, join: Join = Join(),
 
     edges = scratch.cut(confirm(compare(members)), "edges-0")
     found = scratch.cut(components(edges, scratch, "links-0"), "components-0")
-    for level in range(1, join.deepest):
+    for level in range(1, join.deepest + 1):
         # A large node that is one component by now has nothing left to find.
-        large = members.filter("large").select("node", "id").distinct().join(found, "id", "left").select("node", "id", F.coalesce("component", "id").alias("c"))
-        open_nodes = large.groupBy("node").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("node")
-        rows = scratch.cut(large.select("node", "id").join(open_nodes, "node"), f"open-{level}")
-        if rows.isEmpty():
+        large = members.filter("large").select("node", "id", "first").distinct().join(found, "id", "left").select("node", "id", "first", F.coalesce("component", "id").alias("c"))
+        nodes = large.groupBy("node").agg(F.max(F.when(F.col("id") == F.col("first"), F.col("c"))).alias("own"), F.min("c").alias("low"), F.max("c").alias("high"))
+        open_rows = scratch.cut(large.join(nodes.filter("low < high").select("node", "own"), "node"), f"open-{level}")
+        if open_rows.isEmpty():
             break
-        branched = rows.join(sketches, "id").select("node", "id", "sketch").mapInArrow(_branch, "node long, id long")
+        # Where few documents are outside the first one's component, each of them meets all others.
+        outside = open_rows.filter("c <> own").groupBy("node").agg(F.count("*").alias("outside"))
+        few = open_rows.filter("c <> own").join(outside.filter(F.col("outside") <= join.small), "node").select("node", F.col("id").alias("o"), F.col("c").alias("oc"))
+        pairs = few.join(open_rows.select("node", "id", "c"), "node").filter("c <> oc").select(F.least("o", "id").alias("a"), F.greatest("o", "id").alias("b")).distinct()
+        left = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
+        agreeing = left.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_agree(join.sketch_share), "a long, b long")
+        rest = outside.filter((F.col("outside") > join.small) & F.lit(level < join.deepest)).select("node")
+        branched = open_rows.select("node", "id").join(rest, "node").join(sketches, "id").select("node", "id", "sketch").mapInArrow(_branch, "node long, id long")
         members = runs(branched, f"members-{level}")
-        edges = edges.union(scratch.cut(confirm(compare(members)), f"edges-{level}"))
+        candidates = agreeing.union(compare(members))
+        if level == join.deepest:  # all pairs of different components that still share a node, in blocks by the first of them
+            pairs = open_rows.alias("x").join(open_rows.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")))
+            candidates = candidates.union(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+        edges = edges.union(scratch.cut(confirm(candidates.distinct()), f"edges-{level}"))
         found = scratch.cut(components(edges, scratch, f"links-{level}"), f"components-{level}")
         scratch.drop(f"members-{level - 1}", f"open-{level}", f"components-{level - 1}")
-    else:
-        # Nodes that never fell apart: all their pairs of different components, in blocks by the pair's first document.
-        large = members.filter("large").select("node", "id").distinct().join(found, "id", "left").select("node", "id", F.coalesce("component", "id").alias("c"))
-        pairs = large.alias("x").join(large.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")))
-        edges = edges.union(scratch.cut(confirm(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()), "edges-rest"))
-        found = scratch.cut(components(edges, scratch, "links-rest"), "components-rest")
     grouped = classes.select("k1", "k2", "id", "copies").join(found, "id", "left").filter("copies > 1 or component is not null")
     grouped = grouped.select("k1", "k2", F.coalesce("component", "id").alias("component"))
     out = base.select("doc_id", "n_shingles", "k1", "k2").join(grouped, ["k1", "k2"], "left")
