@@ -6,15 +6,15 @@ A tree branches the representatives: at a node, one or two coordinates are
 chosen (as many as 1 / similarity on average), and a document goes to the child
 named by its minwise value there. Documents that end in a node of their own are
 done; a small node is compared exhaustively, first by sketches, then on the full
-sets; in a large one every document is compared with the node's first; the few
-documents that stay outside its component meet all others, and where they are
-many the node is branched on. TREES independent trees repeat
+sets; in a large one every document is compared with the node's first; if that does
+not unite it, its exact intersections are computed by matrix products, up to a
+bound on its size, above which it is branched on. TREES independent trees repeat
 this: a pair at the threshold meets in a tree with probability 0.64, so it is
 missed with probability 0.36 ** TREES, about 1e-9.
 
 Links are confirmed on full sets of 64-bit shingle hashes. Pairs are dropped
 unconfirmed only if fewer than SKETCH_SHARE of their minwise values agree, which
-lies 7 standard deviations below the threshold.
+lies 5 standard deviations below the threshold.
 
 Cases: a null or blank text has an empty set and is linked with nothing; a text
 with fewer words than a shingle is one shingle; rows that share a doc_id are one
@@ -44,8 +44,11 @@ SHIFTS = _rng.integers(0, 1 << 32, SIZE, dtype=np.uint32)
 class Join:
     """words: of a shingle; percent: similarity to reach; trees: independent
     trees; depth: levels before nodes are compared; small: documents of a node
-    that is compared exhaustively; deepest: levels at most; part: documents of
-    a large node that one task compares with the node's first."""
+    that is compared exhaustively; part: documents of a large node that one task
+    compares with the node's first; dense: documents of a large node that meet
+    in one task, for the first dense_trees trees (a pair at the threshold is
+    missed by those with probability 3e-4); deepest: levels below the first,
+    after which a node of any size meets in one task, row block by row block."""
 
     words: int = 5
     percent: int = 80
@@ -53,8 +56,10 @@ class Join:
     depth: int = 3
     small: int = 24
     deepest: int = 8
+    dense: int = 4096
+    dense_trees: int = 8
     part: int = 4096
-    sketch_share: float = 0.55
+    sketch_share: float = 0.62
 
 
 def shingle_sets(chunk, words: int):
@@ -134,6 +139,7 @@ def _roots(trees: int, depth: int):
                 nodes, row = np.full(n, mix(np.array([tree + 1], np.uint64))[0]), np.arange(n)
                 for _ in range(depth):
                     nodes, row = _paths(nodes, sketch, row)
+                nodes = nodes & ~np.uint64(31) | np.uint64(tree % 32)  # the tree stays readable in the node
                 yield pa.RecordBatch.from_arrays([pa.array(as_signed(nodes)), pa.array(ids[row])], ["node", "id"])
 
     return run
@@ -145,6 +151,7 @@ def _branch(batches):
         if len(batch):
             nodes, ids = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
             to, row = _paths(nodes, _sketches(batch.column(2)), np.arange(len(ids)))
+            to = to & ~np.uint64(31) | nodes[row] & np.uint64(31)
             yield pa.RecordBatch.from_arrays([pa.array(as_signed(to)), pa.array(ids[row])], ["node", "id"])
 
 
@@ -259,14 +266,70 @@ def _compare(small: int, share: float):
     return run
 
 
-def _agree(share: float):
-    """The pairs (a, b, x, y) whose sketches x and y agree enough."""
+def _dense(percent: int):
+    """Links (a, b) that unite components, from (node, id, c, low) with each node's rows together.
+
+    Intersections of all pairs of a node are products of its 0/1 matrix of
+    shingles; shingles of one document only are left out of it. A pair is
+    returned only if it unites two components that no earlier pair has united.
+    """
+
+    def links(ids, c, lows):
+        sizes = np.array([len(x) for x in lows])
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        _, place, times = np.unique(np.concatenate(lows), return_inverse=True, return_counts=True)
+        shared = times > 1
+        column = (np.cumsum(shared) - 1)[place]
+        use = shared[place]
+        owner, column = owner[use], column[use]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        width = int(shared.sum())
+        parent = {x: x for x in set(c.tolist())}
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for s in range(0, len(ids), 512):
+            e = min(len(ids), s + 512)
+            common = np.zeros((e - s, len(ids)), np.float32)
+            for w in range(0, width, 1024):
+                lo, hi = np.searchsorted(column, [w, w + 1024])
+                part = np.zeros((len(ids), min(1024, width - w)), np.float32)
+                part[owner[lo:hi], column[lo:hi] - w] = 1
+                common += part[s:e] @ part.T
+            union = sizes[s:e, None] + sizes[None, :] - common
+            hit = (100 * common >= percent * union) & (c[s:e, None] != c[None, :])
+            for i, j in zip(*map(np.ndarray.tolist, np.nonzero(hit)), strict=True):
+                x, y = root(int(c[s + i])), root(int(c[j]))
+                if x != y:
+                    parent[y] = x
+                    yield int(ids[s + i]), int(ids[j])
 
     def run(batches):
+        node, held = None, []
+
+        def close():
+            found = list(links(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), [y for x in held for y in x[2]])) if held else []
+            if found:
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
         for batch in batches:
-            if len(batch):
-                ok = pa.array((_sketches(batch.column(2)) == _sketches(batch.column(3))).sum(1) >= share * SIZE)
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], ["a", "b"])
+            nodes, ids, c = (batch.column(j).to_numpy() for j in range(3))
+            lows = [np.frombuffer(x, np.uint32) for x in batch.column(3).to_pylist()]
+            cuts = np.flatnonzero(np.diff(nodes)) + 1
+            for s, e in zip(np.append(0, cuts), np.append(cuts, len(nodes)), strict=True):
+                if s == e:
+                    continue
+                if nodes[s] != node:
+                    yield from close()
+                    node, held = nodes[s], []
+                held.append((ids[s:e], c[s:e], lows[s:e]))
+        yield from close()
 
     return run
 
@@ -277,7 +340,8 @@ def _sets(words: int):
             ids = batch.column(0)
             for chunk in chunks(batch.column(1)):
                 first, value = shingle_sets(chunk, words)
-                yield pa.RecordBatch.from_arrays([ids.slice(chunk.first, len(chunk)), pa.array([value[first[i] : first[i + 1]].tobytes() for i in range(len(chunk))], pa.binary())], ["id", "shingles"])
+                low = (value >> np.uint64(32)).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([ids.slice(chunk.first, len(chunk)), pa.array([value[first[i] : first[i + 1]].tobytes() for i in range(len(chunk))], pa.binary()), pa.array([low[first[i] : first[i + 1]].tobytes() for i in range(len(chunk))], pa.binary())], ["id", "shingles", "low"])
 
     return run
 
@@ -321,7 +385,7 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, join: Join = Join(),
     members = runs(sketches.mapInArrow(_roots(join.trees, join.depth), "node long, id long"), "members-0")
     wanted = members.select("id").distinct()
     # The full sets of all documents that share a node; no later pair has others.
-    sets = scratch.cut(texts.join(wanted, texts.doc_id == wanted.id, "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(join.words), "id long, shingles binary"), "sets")
+    sets = scratch.cut(texts.join(wanted, texts.doc_id == wanted.id, "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(join.words), "id long, shingles binary, low binary"), "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
@@ -337,19 +401,15 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, join: Join = Join(),
         open_rows = scratch.cut(large.join(nodes.filter("low < high").select("node", "own"), "node"), f"open-{level}")
         if open_rows.isEmpty():
             break
-        # Where few documents are outside the first one's component, each of them meets all others.
-        outside = open_rows.filter("c <> own").groupBy("node").agg(F.count("*").alias("outside"))
-        few = open_rows.filter("c <> own").join(outside.filter(F.col("outside") <= join.small), "node").select("node", F.col("id").alias("o"), F.col("c").alias("oc"))
-        pairs = few.join(open_rows.select("node", "id", "c"), "node").filter("c <> oc").select(F.least("o", "id").alias("a"), F.greatest("o", "id").alias("b")).distinct()
-        left = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
-        agreeing = left.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_agree(join.sketch_share), "a long, b long")
-        rest = outside.filter((F.col("outside") > join.small) & F.lit(level < join.deepest)).select("node")
+        # Up to a bound, a node's sets meet in one task, which returns links that unite components.
+        counted = open_rows.groupBy("node").agg(F.count("*").alias("n"))
+        fits = counted.filter(((F.col("n") <= join.dense) | F.lit(level == join.deepest)) & (F.col("node").bitwiseAND(31) < join.dense_trees)).select("node")
+        together = open_rows.select("node", "id", "c").join(fits, "node").join(sets.select("id", "low"), "id").select("node", "id", "c", "low")
+        candidates = together.repartition("node").sortWithinPartitions("node", "id").mapInArrow(_dense(join.percent), "a long, b long")
+        rest = counted.filter((F.col("n") > join.dense) & F.lit(level < join.deepest)).select("node")
         branched = open_rows.select("node", "id").join(rest, "node").join(sketches, "id").select("node", "id", "sketch").mapInArrow(_branch, "node long, id long")
         members = runs(branched, f"members-{level}")
-        candidates = agreeing.union(compare(members))
-        if level == join.deepest:  # all pairs of different components that still share a node, in blocks by the first of them
-            pairs = open_rows.alias("x").join(open_rows.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")))
-            candidates = candidates.union(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+        candidates = candidates.union(compare(members))
         edges = edges.union(scratch.cut(confirm(candidates.distinct()), f"edges-{level}"))
         found = scratch.cut(components(edges, scratch, f"links-{level}"), f"components-{level}")
         scratch.drop(f"members-{level - 1}", f"open-{level}", f"components-{level - 1}")
