@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from inkspool.llm import mixing, neardup, quality
+from inkspool.llm import decontaminate, mixing, neardup, quality, secrets
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op6_neardup": neardup.op6_neardup,
     "op7_mixing": mixing.op7_mixing,
+    "op8_secrets": secrets.op8_secrets,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
 #: Only where SQL can express the whole result.
