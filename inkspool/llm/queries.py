@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from inkspool.llm import decontaminate, mixing, neardup, quality, secrets
+from inkspool.llm import decontaminate, lm, mixing, neardup, quality, secrets, tokens
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op4_lm": lm.op4_lm,
     "op6_neardup": neardup.op6_neardup,
     "op7_mixing": mixing.op7_mixing,
     "op8_secrets": secrets.op8_secrets,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_tokens": tokens.op10_tokens,
 }
 
 #: Only where SQL can express the whole result.
