@@ -1,3 +1,59 @@
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""The corpus pipeline: five stages over documents, each over all that its predecessor kept.
+
+Quality rules drop rejected documents and take failing lines out of the others;
+near-duplicate detection keeps one document of each group; decontamination drops
+documents that hold a benchmark item; secret scans replace secrets in the texts;
+mixing says how many words of every document the training mix takes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from inkspool.llm import decontaminate, mixing, neardup, quality, secrets
+from inkspool.session import Scratch
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.clean(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = neardup.near_duplicates(docs, Scratch(spark, "near_dedup"))
+    dropped = groups.filter("not kept").select("doc_id").distinct()
+    # Rows that share a doc_id are one document.
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.taken(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("mixing", mix),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other, each result written as Parquet and read again."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = scratch.cut(stage(spark, docs, sf_dir), f"{k}-{name}")
+    return docs
+
+
+#: Random fields and similarity joins are beyond SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
