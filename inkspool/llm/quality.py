@@ -128,7 +128,8 @@ def measure(documents: DataFrame, rules: Rules = Rules(), text: str = "text") ->
 
 def clean(documents: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
     """The kept documents with their failing lines taken out; n_chars, if there, follows the text."""
-    out = measure(documents, rules, text).filter("kept")
+    # The row number keeps the filter above the measures: pushed below, every step would be computed again in the condition.
+    out = measure(documents, rules, text).withColumn("_row", F.monotonically_increasing_id()).filter("kept and _row >= 0")
     columns = [F.col("clean_text").alias(c) if c == text else F.length("clean_text").cast(dict(documents.dtypes)[c]).alias(c) if c == "n_chars" else F.col(c) for c in documents.columns]
     return out.select(*columns)
 
