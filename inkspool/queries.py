@@ -2,5 +2,370 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkspool.functions import text as T
+from inkspool.operators import assets, observations, paths, pixels, report, upsert
+from inkspool.session import table
+
 QUERIES: dict = {}
 SQL: dict = {}
+AS_OF, DAYS, SLACK, LEAST = date(2024, 1, 30), 7, 2, 3
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query("""select sha256(text) as asset_id, count(*) as copies, min(doc_id) as first_id, list_sort(list(doc_id)) as ids
+          from documents group by 1""")
+def content_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select(F.sha2(F.col("text").cast("binary"), 256).alias("asset_id"), "doc_id")
+    return docs.groupBy("asset_id").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.sort_array(F.collect_list("doc_id")).alias("ids"))
+
+
+@query("select p_partkey, p_name, count(*) over (partition by p_name) = 1 as unique_name from part")
+def name_uniqueness(spark, d):
+    return assets.unique_names(table(spark, d, "part").select("p_partkey", "p_name"), "p_name")
+
+
+@query("""select p_name, arg_min(p_partkey, p_partkey) as p_partkey, arg_min(p_brand, p_partkey) as p_brand from part group by 1""")
+def seen_once(spark, d):
+    return assets.seen_once(table(spark, d, "part").select("p_name", "p_partkey", "p_brand"), "p_name", "p_partkey")
+
+
+def _scrape(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("seq"), F.col("c_name").alias("title"), F.lit("").alias("filename"), F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("x"), "c_custkey")).otherwise("").alias("external_id"))
+    p = table(spark, d, "part").select((F.col("p_partkey") + 10_000_000).alias("seq"), F.upper("p_name").alias("title"), F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("part"), "p_partkey")).otherwise("").alias("filename"), F.lit("").alias("external_id"))
+    return c.union(p)
+
+
+@query("""
+with log as (select 'cust' || c_custkey as filename, case when c_custkey % 3 = 0 then 'x' || (c_custkey + c_custkey % 2) else '' end as external_id from customer),
+meta as (select 'cust' || c_custkey as filename, c_name as title from customer where c_custkey % 11 <> 0
+         union all select 'part' || p_partkey, p_name from part),
+rows as (select c_custkey as seq, c_name as title, '' as filename, case when c_custkey % 7 = 0 then 'x' || c_custkey else '' end as external_id from customer
+         union all select p_partkey + 10000000, upper(p_name), case when p_partkey % 5 = 0 then 'part' || p_partkey else '' end, '' from part),
+ids as (select external_id as k, count(distinct filename) as n, min(filename) as f from log where external_id <> '' group by 1),
+files as (select filename from log union select filename from meta),
+titles as (select trim(regexp_replace(lower(title), '\\s+', ' ', 'g')) as k, count(distinct filename) as n, min(filename) as f from meta group by 1),
+found as (
+  select r.*, case when i.n > 0 then i.n when fl.filename is not null then 1 else coalesce(t.n, 0) end as n,
+    case when i.n > 0 then i.f when fl.filename is not null then fl.filename else t.f end as f
+  from rows r left join ids i on r.external_id = i.k and r.external_id <> '' left join files fl on r.filename = fl.filename and r.filename <> ''
+    left join titles t on trim(regexp_replace(lower(r.title), '\\s+', ' ', 'g')) = t.k)
+select seq, case when n = 1 then f end as file,
+  case when n = 0 then 'unmatched' when n > 1 or (found.external_id <> '' and l.external_id <> '' and l.external_id <> found.external_id) then 'ambiguous' else 'matched' end as outcome
+from found left join log l on n = 1 and l.filename = f
+""")
+def staged_match(spark, d):
+    c, p = table(spark, d, "customer"), table(spark, d, "part")
+    log = c.select(F.concat(F.lit("cust"), "c_custkey").alias("filename"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("x"), F.col("c_custkey") + F.col("c_custkey") % 2)).otherwise("").alias("external_id"))
+    meta = c.filter("c_custkey % 11 <> 0").select(F.concat(F.lit("cust"), "c_custkey").alias("filename"), F.col("c_name").alias("title")).union(p.select(F.concat(F.lit("part"), "p_partkey"), "p_name"))
+    return observations.resolve(_scrape(spark, d), log, meta).select("seq", "file", "outcome")
+
+
+def _observations(spark, d):
+    e = table(spark, d, "events").select(
+        F.col("event_id").alias("seq"), F.concat(F.lit("u"), "user_id").alias("file"), F.floor("value").cast("string").alias("downloads"), F.date_format("ts", "yyyy-MM-dd").alias("observed"),
+        F.when(F.col("event_id") % 9 == 0, F.date_format(F.date_sub("ts", 3), "yyyy-MM-dd")).when(F.col("event_id") % 31 == 0, "2030-01-01").otherwise("").alias("accepted"),
+        F.when(F.col("event_id") % 4 == 0, (F.col("event_id") % 1000 / 100).cast("string")).when(F.col("event_id") % 41 == 0, "nan").otherwise("").alias("royalty"),
+        F.when(F.col("event_id") % 6 == 0, "rejected").when(F.col("event_id") % 10 == 0, "pending").otherwise("").alias("explicit"),
+    )
+    return observations.validate(e)
+
+
+_OBS = """
+raw as (
+  select event_id as seq, 'u' || user_id as file, cast(floor(value) as bigint) as d, cast(ts as date) as dt,
+    case when event_id % 9 = 0 then cast(ts as date) - 3 when event_id % 31 = 0 then date '2030-01-01' end as acc,
+    case when event_id % 4 = 0 then cast(event_id % 1000 as double) / 100 end as roy, event_id % 4 <> 0 and event_id % 41 = 0 as nan,
+    case when event_id % 6 = 0 then 'rejected' when event_id % 10 = 0 then 'pending' else '' end as explicit from events),
+valid as (select *, d >= 0 and (acc is null or acc <= dt) and not nan and coalesce(roy, 0) >= 0 as valid from raw),
+checked as (select *, coalesce(d >= max(d) over (partition by file, dt order by seq rows between unbounded preceding and 1 preceding), true) as ok from valid where valid)
+"""
+
+
+@query(f"""with {_OBS}
+select case when not v.valid or not coalesce(c.ok, true) then 'invalid' else 'matched' end as outcome, count(*) as n
+from valid v left join checked c using (seq) group by 1""")
+def import_counts(spark, d):
+    rows = _observations(spark, d)
+    ok = observations.monotone(rows.filter("valid")).select(F.when(F.col("ok"), "matched").otherwise("invalid").alias("outcome"))
+    return ok.union(rows.filter("not valid").select(F.lit("invalid"))).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query(f"with {_OBS} select seq, file, d, ok from checked")
+def monotone_guard(spark, d):
+    return observations.monotone(_observations(spark, d).filter("valid")).select("seq", "file", "d", "ok")
+
+
+@query(f"""with {_OBS},
+kept as (select *, coalesce(dt >= max(dt) over (partition by file order by seq rows between unbounded preceding and 1 preceding), true) as rec,
+  explicit = 'accepted' or acc is not null or d > 0 as ev from checked where ok),
+said as (select *, case when explicit in ('accepted', 'rejected', 'submitted', 'pending') then explicit when ev then 'accepted' end as st from kept)
+select file, count(*) as observations, max_by(d, seq) filter (rec) as dl_latest, max(dt) as dl_date, max_by(roy, seq) filter (rec and roy is not null) as royalty,
+  min(dt) filter (ev) as first_seen, min_by(acc, seq) filter (acc is not null) as accepted_date, max_by(st, seq) filter (rec and st is not null) as status
+from said group by file""")
+def observation_fold(spark, d):
+    return observations.fold(_observations(spark, d).filter("valid"))
+
+
+@query(f"""with {_OBS} select file, dt, max_by(d, seq) as downloads, max_by(roy, seq) filter (roy is not null) as royalty from checked where ok group by 1, 2""")
+def observation_history(spark, d):
+    return observations.history(_observations(spark, d).filter("valid"))
+
+
+def _points(spark, d):
+    """Running event counts per user and day: dates and counts, one row each."""
+    daily = table(spark, d, "events").groupBy(F.col("user_id").alias("item"), F.col("ts").cast("date").alias("dt")).agg(F.count("*").alias("c"))
+    from pyspark.sql import Window
+
+    return daily.select("item", "dt", F.sum("c").over(Window.partitionBy("item").orderBy("dt")).alias("n"))
+
+
+_RATES = f"""
+daily as (select user_id as item, cast(ts as date) as dt, count(*) as c from events group by 1, 2),
+points as (select item, dt, sum(c) over (partition by item order by dt) as n from daily where dt <= date '{AS_OF}'),
+ends as (select item, max(dt) as e, max_by(n, dt) as en from points group by 1),
+starts as (select p.item, max(dt) as s, max_by(n, dt) as sn from points p join ends using (item) where dt between e - {DAYS + SLACK} and e - {DAYS} group by 1),
+rates as (select ends.item, case when date '{AS_OF}' - e <= 7 and en >= sn then cast(en - sn as double) * {DAYS} / (e - s) end as rate from ends left join starts using (item))
+"""
+
+
+@query(f"with {_RATES} select item, round(rate, 6) as rate from rates")
+def trailing_rate(spark, d):
+    return report.trailing_rate(_points(spark, d), AS_OF, DAYS, SLACK).select("item", F.round("rate", 6).alias("rate"))
+
+
+@query(f"""with {_RATES},
+per as (select user_id as item, count(*) as downloads, min(cast(ts as date)) as born, count(*) filter (event_type = 'purchase') as bought,
+          count(*) filter (event_type = 'click') as clicked from events group by 1),
+items as (select item, c_mktsegment as niche, case when bought > 0 and item % 5 <> 0 then 'accepted' when clicked > 0 then 'rejected' else 'pending' end as status, downloads, born,
+            case when item % 2 = 0 then cast(downloads as double) / 4 end as royalty from per join customer on item = c_custkey),
+g as (select niche, count(*) as assets, count(*) filter (status = 'accepted') as accepted, count(*) filter (status = 'rejected') as rejected, cast(sum(downloads) as bigint) as downloads,
+  coalesce(sum(royalty), 0) as royalty_usd, count(royalty) as royalty_known, count(*) filter (status = 'accepted' and rate is not null) as observed_assets,
+  coalesce(sum(rate) filter (status = 'accepted'), 0) as recent_downloads, min(greatest(0, date '{AS_OF}' - born)) filter (status = 'accepted') as min_age_days
+  from items left join rates using (item) group by 1),
+r as (select *, case when accepted + rejected > 0 then accepted / (accepted + rejected) end as acceptance_rate, case when observed_assets > 0 then recent_downloads / observed_assets end as per_asset from g)
+select niche, assets, accepted, rejected, downloads, royalty_usd, royalty_known, observed_assets, round(recent_downloads, 6) as recent_downloads, min_age_days,
+  round(acceptance_rate, 6) as acceptance_rate, round(per_asset, 6) as downloads_per_asset,
+  case when accepted + rejected >= {LEAST} and acceptance_rate < 0.4 then 'FIX QUALITY' when observed_assets < {LEAST} then 'HOLD: insufficient observations'
+    when per_asset >= 1 and acceptance_rate >= 0.7 then 'EXPAND TEST' when per_asset = 0 then 'REVIEW NICHE' else 'HOLD: monitor demand' end as verdict
+from r""")
+def niche_report(spark, d):
+    bought, clicked = F.count_if(F.col("event_type") == "purchase"), F.count_if(F.col("event_type") == "click")
+    per = table(spark, d, "events").groupBy(F.col("user_id").alias("item")).agg(F.count("*").alias("downloads"), F.min(F.col("ts").cast("date")).alias("born"), bought.alias("bought"), clicked.alias("clicked"))
+    status = F.when((F.col("bought") > 0) & (F.col("item") % 5 != 0), "accepted").when(F.col("clicked") > 0, "rejected").otherwise("pending")
+    items = per.join(table(spark, d, "customer").select(F.col("c_custkey").alias("item"), F.col("c_mktsegment").alias("niche")), "item")
+    items = items.select("item", "niche", status.alias("status"), "downloads", "born", F.when(F.col("item") % 2 == 0, F.col("downloads") / 4).alias("royalty"))
+    out = report.niche_report(items, report.trailing_rate(_points(spark, d), AS_OF, DAYS, SLACK), AS_OF, LEAST)
+    return out.withColumns({c: F.round(c, 6) for c in ("recent_downloads", "acceptance_rate", "downloads_per_asset")})
+
+
+@query("""
+with o as (select o_orderkey as k, o_orderstatus as status, o_orderpriority as category from orders where o_orderkey % 3 <> 0),
+n as (select o_orderkey as k, 'N' as status, case when o_orderkey % 4 = 0 then '' else o_orderpriority || '!' end as category from orders where o_orderkey % 2 = 0)
+select coalesce(n.k, o.k) as k, case when n.k is not null then n.status else o.status end as status, coalesce(nullif(n.category, ''), o.category, n.category) as category
+from o full join n on o.k = n.k""")
+def sticky_category(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("category"))
+    new = o.filter("k % 2 = 0").select("k", F.lit("N").alias("status"), F.when(F.col("k") % 4 == 0, "").otherwise(F.concat("category", F.lit("!"))).alias("category"))
+    return upsert.upsert(o.filter("k % 3 <> 0"), new, "k", ("category",))
+
+
+@query("select o_orderkey, o_totalprice from orders where o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R')")
+def delete_by_key(spark, d):
+    gone = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return upsert.delete(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), gone, "o_orderkey")
+
+
+@query("""select c_custkey as k, c_name as name, null as extra from customer where c_custkey % 3 <> 0
+union all select c_custkey, c_name, 'added' from customer where c_custkey % 3 = 0""")
+def insert_if_absent(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    return upsert.insert_absent(c.filter("k % 3 <> 0"), c.withColumn("extra", F.lit("added")), "k")
+
+
+@query("""
+with o as (select c_custkey as filename, case c_custkey % 4 when 0 then 'ready' when 1 then 'accepted' when 2 then 'needs_review' else 'failed' end as status, case when c_custkey % 2 = 0 then c_mktsegment else '' end as niche, c_name as notes, c_acctbal as extra from customer where c_custkey % 3 <> 0),
+n as (select c_custkey as filename, 'needs_metadata' as pipeline_status, 'new' as niche, 'n' as notes, c_nationkey as production_seconds from customer where c_custkey % 2 = 0 or c_custkey % 9 = 0)
+select coalesce(o.filename, n.filename) as filename,
+  case when o.filename is null then coalesce(pipeline_status, 'ready') when n.filename is not null and status in ('ready', 'needs_metadata', 'needs_review', 'failed') then pipeline_status else status end as status,
+  coalesce(nullif(o.niche, ''), n.niche, o.niche) as niche, o.notes, extra, pipeline_status, production_seconds
+from o full join n on o.filename = n.filename""")
+def log_upsert(spark, d):
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    status = F.when(k % 4 == 0, "ready").when(k % 4 == 1, "accepted").when(k % 4 == 2, "needs_review").otherwise("failed")
+    log = c.filter(k % 3 != 0).select(k.alias("filename"), status.alias("status"), F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise("").alias("niche"), F.col("c_name").alias("notes"), F.col("c_acctbal").alias("extra"))
+    new = c.filter((k % 2 == 0) | (k % 9 == 0)).select(k.alias("filename"), F.lit("needs_metadata").alias("pipeline_status"), F.lit("new").alias("niche"), F.lit("n").alias("notes"), F.col("c_nationkey").alias("production_seconds"))
+    return upsert.record(log, new)
+
+
+@query("""
+with manual as (select 'd' || doc_id as name, quality from labels union all select source, -1 from documents group by 1),
+jobs as (select doc_id, 'd' || doc_id as svg, source, count(*) over (partition by source) = 1 as uniq from documents)
+select doc_id, coalesce(a.quality, b.quality) as quality from jobs left join manual a on svg = a.name left join manual b on source = b.name and uniq""")
+def manual_lookup(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("svg"), "source")
+    manual = table(spark, d, "labels").select(F.concat(F.lit("d"), "doc_id").alias("name"), "quality").union(docs.select("source", F.lit(-1)).distinct())
+    return assets.manual_lookup(assets.unique_names(docs, "source", "unique"), manual, "svg", "source", "unique", "quality").select("doc_id", "quality")
+
+
+@query("""select status, count(*) as n, count(*) filter (status = 'ready') as to_metadata from (
+  select case when quality is null then 'needs_metadata' when quality = 1 then 'ready' else 'needs_review' end as status from documents left join labels using (doc_id)) group by 1""")
+def status_route(spark, d):
+    rows = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    rows = rows.select(assets.status(F.when(F.col("quality").isNotNull(), "ai"), F.col("quality") == 1).alias("status"), F.lit(None).cast("string").alias("eps"))
+    return assets.routed(rows).groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.col("target") == "metadata").alias("to_metadata"))
+
+
+@query("""
+with w as (select doc_id, list_filter(list_transform(string_split(replace(text, chr(10), ' '), '. '), lambda k: trim(regexp_replace(lower(k), '\\s+', ' ', 'g'))),
+  lambda k: k <> '' and not contains(k, ',') and len(string_split(k, ' ')) <= 3) as ks from documents)
+select doc_id, list_sort(list_distinct(ks)) as keywords from w where len(list_distinct(ks)) between 5 and 48""")
+def keyword_clean(spark, d):
+    raw = F.split(F.regexp_replace("text", "\n", " "), r"\. ")
+    kept = T.clean_keywords(raw)
+    return table(spark, d, "documents").select("doc_id", F.sort_array(kept).alias("keywords")).filter(F.size("keywords").between(5, 48))
+
+
+@query(r"""
+with f as (select event_id, case event_id % 4 when 0 then 'Airline_Solid_' when 1 then 'cyber-outline ' when 2 then 'blue_line-' else '_' end || event_type || '_20' || (10000000 + event_id * 7919 % 2000000) % 1000000 + 240000
+  || case when event_id % 3 = 0 then '__0123456789ab' else '' end || '.svg' as name from events),
+s as (select event_id, name, regexp_replace(regexp_replace(lower(name), '\.[^.]*$', ''), '__[0-9a-f]{12,64}$', '') as stem from f),
+w as (select *, regexp_split_to_array(stem, '[_\s-]+') as ws, regexp_extract(stem, '(?:^|[^0-9])(20[0-9]{6})(?:[0-9]{6})?(?:$|[^0-9])', 1) as ds from s)
+select event_id, ws[1] as niche, case when list_contains(ws, 'blue') then 'blue' when list_contains(ws, 'line') then 'line' when list_contains(ws, 'solid') then 'solid' when list_contains(ws, 'outline') then 'outline' else '' end as style,
+  coalesce(strftime(try_strptime(nullif(ds, ''), '%Y%m%d'), '%Y-%m-%d'), '') as batch_date from w""")
+def filename_parse(spark, d):
+    k = F.col("event_id")
+    digits = (F.lit(10_000_000) + k * 7919 % 2_000_000) % 1_000_000 + 240_000
+    lead = F.when(k % 4 == 0, "Airline_Solid_").when(k % 4 == 1, "cyber-outline ").when(k % 4 == 2, "blue_line-").otherwise("_")
+    name = F.concat(lead, "event_type", F.lit("_20"), digits.cast("string"), F.when(k % 3 == 0, "__0123456789ab").otherwise(""), F.lit(".svg"))
+    return table(spark, d, "events").select("event_id", *(c.alias(n) for n, c in T.file_parts(name).items()))
+
+
+@query(r"select p_partkey, trim(regexp_replace(lower(' ' || upper(p_name) || chr(9) || p_brand || '  '), '\s+', ' ', 'g')) as title from part")
+def title_norm(spark, d):
+    return table(spark, d, "part").select("p_partkey", T.normal_title(F.concat(F.lit(" "), F.upper("p_name"), F.lit("\t"), "p_brand", F.lit("  "))).alias("title"))
+
+
+@query(r"select p_partkey, left(trim(regexp_replace(replace(p_name, '_', ' ') || ' ' || p_brand, '\s+', ' ', 'g')), 90) as title from part")
+def draft_title(spark, d):
+    return table(spark, d, "part").select("p_partkey", T.draft_title(F.concat("p_name", F.lit("_20260101123456-"), "p_brand", F.lit(".svg"))).alias("title"))
+
+
+@query("""with v as (select vec_id, label, unnest(embedding) as x from embeddings)
+select label, cast(floor(x * 16) as bigint) as bucket, count(*) as n, round(avg(cast(x as double)), 6) as mean from v group by 1, 2""")
+def bucket_histogram(spark, d):
+    v = table(spark, d, "embeddings").select("label", F.explode("embedding").alias("x"))
+    return v.groupBy("label", F.floor(F.col("x") * 16).alias("bucket")).agg(F.count("*").alias("n"), F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"))
+
+
+def _pairs(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+
+
+@query("""select a.vec_id, round(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: abs(cast(z[1] as double) - cast(z[2] as double)))) / 64 / 255, 9) as mae
+from embeddings a join embeddings b on b.vec_id = a.vec_id + 1""")
+def mean_error(spark, d):
+    return _pairs(spark, d).select("vec_id", F.round(pixels.mean_error(F.col("embedding"), F.col("other")), 9).alias("mae"))
+
+
+_BOX = """px as (select vec_id, (i - 1) % 8 as x, (i - 1) // 8 as y, v from (select vec_id, unnest(embedding) as v, unnest(range(1, 65)) as i from embeddings)),
+boxes as (select vec_id, min(x) filter (v > 0.15) / 8 as x0, min(y) filter (v > 0.15) / 8 as y0, max(x) filter (v > 0.15) / 8 as x1, max(y) filter (v > 0.15) / 8 as y1 from px group by 1)"""
+
+
+def _boxes(spark, d):
+    px = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
+    px = px.select("vec_id", (F.col("i") % 8).alias("x"), F.floor(F.col("i") / 8).alias("y"), "v")
+    return pixels.ink_box(px, ["vec_id"], F.col("v") > 0.15, 8, 8)
+
+
+@query(f"with {_BOX} select * from boxes")
+def ink_box(spark, d):
+    return _boxes(spark, d)
+
+
+@query(f"""with {_BOX} select a.vec_id, case when a.x0 is null or b.x0 is null then 1.0 else greatest(abs(a.x0 - b.x0), abs(a.y0 - b.y0), abs(a.x1 - b.x1), abs(a.y1 - b.y1)) end as drift
+from boxes a join boxes b on b.vec_id = a.vec_id + 1""")
+def box_drift(spark, d):
+    a = _boxes(spark, d)
+    b = a.select((F.col("vec_id") - 1).alias("vec_id"), *(F.col(c).alias(f"{c}_") for c in ("x0", "y0", "x1", "y1")))
+    sides = ("x0", "y0", "x1", "y1")
+    return a.join(b, "vec_id").select("vec_id", pixels.box_drift([F.col(c) for c in sides], [F.col(f"{c}_") for c in sides]).alias("drift"))
+
+
+_PALETTE = [[0.25 if (k >> (j % 3)) & 1 else -0.25 for j in range(64)] for k in range(8)]
+
+
+@query("""with c as (select unnest(range(8)) as k), d as (
+  select vec_id, k, list_sum(list_transform(range(64), lambda j: pow(cast(embedding[j + 1] as double) - case when (k >> (j % 3)) & 1 = 1 then 0.25 else -0.25 end, 2))) as far from embeddings, c)
+select vec_id, cast(arg_min(k, (round(far, 9), k)) as int) as nearest from d group by 1""")
+def nearest_palette(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", pixels.nearest(F.col("embedding"), _PALETTE).alias("nearest"))
+
+
+@query("select l_returnflag, round(quantile_cont(l_extendedprice, 0.95), 6) as p95 from lineitem group by 1")
+def percentile_residual(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.round(F.percentile("l_extendedprice", F.lit(0.95)), 6).alias("p95"))
+
+
+@query("select event_id, json_extract_string(props, '$.k') as k, json_extract_string(props, '$.page') as page from events")
+def json_fields(spark, d):
+    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.get_json_object("props", "$.page").alias("page"))
+
+
+@query(r"""with v as (select l_orderkey, l_linenumber, cast(round_even(cast(l_extendedprice / 7 as decimal(28,9)), 3) as decimal(28,3))::varchar as t from lineitem)
+select l_orderkey, l_linenumber, case when regexp_replace(t, '\.?0+$', '') in ('', '-0', '-') then '0' else regexp_replace(t, '\.?0+$', '') end as number from v""")
+def path_rounding(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", T.short_number((F.col("l_extendedprice") / 7).cast("decimal(28,9)")).alias("number"))
+
+
+@query(r"""
+with p as (select l_orderkey, l_linenumber, list_transform([l_quantity, l_quantity, l_linenumber, l_linenumber], lambda v: 'L ' || cast(cast(v as bigint) as varchar) || ' 1') as c from lineitem)
+select l_orderkey, l_linenumber, case when l_q = l_n then 1 else 2 end as chunks, 2 + 3 * 4 as tokens from (select l_orderkey, l_linenumber, c[1] as l_q, c[3] as l_n from p)""")
+def path_chunks(spark, d):
+    line = lambda c: F.concat(F.lit("L "), F.col(c).cast("bigint").cast("string"), F.lit(" 1"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.array(line("l_quantity"), line("l_quantity"), line("l_linenumber"), line("l_linenumber")).alias("c"))
+    tokens = F.size(paths.path_tokens(F.concat(F.lit("M 0"), F.lit(" "), F.array_join("c", " "))))
+    return rows.select("l_orderkey", "l_linenumber", F.size(paths.without_repeats(F.col("c"))).alias("chunks"), tokens.alias("tokens"))
+
+
+@query("""select p_partkey, cast(round_even(w * s, 0) as bigint) as width, cast(round_even(h * s, 0) as bigint) as height from (
+  select p_partkey, cast(p_size as double) as w, 10.0::double as h, sqrt(25e6 / (p_size * 10.0::double)) as s from part)""")
+def artboard_size(spark, d):
+    size = paths.artboard(F.col("p_size").cast("double"), F.lit(10.0))
+    return table(spark, d, "part").select("p_partkey", size["width"].alias("width"), size["height"].alias("height"))
+
+
+@query("""select p_partkey, round(p_size * case p_partkey % 4 when 0 then 1.0 when 1 then 96.0 / 72 when 2 then 96.0 else 96 / 25.4 end, 6) as px from part""")
+def length_pixels(spark, d):
+    unit = F.element_at(F.array(*map(F.lit, ("px", "pt", "in", "mm"))), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", F.round(T.pixel_length(F.concat(F.col("p_size").cast("string"), unit)), 6).alias("px"))
+
+
+@query()
+def greedy_palette(spark, d):
+    v = table(spark, d, "embeddings").select(F.col("label").alias("asset_id"), *((F.element_at("embedding", j) * 127 + 128).cast("double").alias(c) for j, c in enumerate("rgb", 1)))
+    return pixels.greedy_palette(pixels.color_buckets(v))
+
+
+@query()
+def kmeans_colors(spark, d):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    v = table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    model = KMeans(k=8, seed=42, maxIter=20).fit(v)
+    return model.transform(v).select("vec_id", F.col("prediction").alias("cluster"))
