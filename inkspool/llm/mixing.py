@@ -117,7 +117,8 @@ def mix(documents: DataFrame, text: str = "text", seed: int = 0) -> tuple[DataFr
 def taken(documents: DataFrame, text: str = "text", seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words that the mix takes of each document."""
     _, at, drawn = mix(documents, text, seed)
-    copies = drawn.groupBy("rank", "block").agg(F.count("*").alias("copies"))
+    # The planner takes the draws for as small as the sources they come from; they grow with the words and must not be broadcast.
+    copies = drawn.groupBy("rank", "block").agg(F.count("*").alias("copies")).hint("merge")
     used = pieces(at).join(copies, ["rank", "block"], "left").withColumn("used", F.col("words") * F.coalesce("copies", F.lit(0)))
     used = used.groupBy("doc_id", "rank", "start", "size", "source_size", "target").agg(F.sum("used").alias("taken"))
     columns = ["doc_id", "size", "source_size", "target"]
