@@ -119,13 +119,17 @@ def scan(documents: DataFrame, threshold: float = 0.5, overlap: float = 0.6, tex
     rows = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(F.lower(F.col(text)), "\n")).alias("paragraph", "line"))
     rows = rows.filter(F.col("line").rlike(pattern))
     rows = rows.select("doc_id", "row", "paragraph", F.filter(F.transform(F.split("line", WORDS), lambda w: F.regexp_replace(w, r"^\.+|\.+$", "")), lambda w: w != "").alias("words"))
-    anchor = F.array(*map(F.lit, ANCHORS))
-    n_gram = lambda n: F.expr(f"case when size(words) >= {n} then transform(sequence(0, size(words) - {n}), i -> slice(words, i + 1, {n})) else cast(array() as array<array<string>>) end")
-    every = F.concat(n_gram(1), n_gram(2), n_gram(3))
-    rows = rows.withColumn("grams", F.array_distinct(F.transform(F.filter(every, lambda g: F.arrays_overlap(g, anchor)), lambda g: F.array_join(g, " "))))
+    # An n-gram that contains an anchor starts at most n - 1 words before it.
+    rows = rows.withColumn("at", F.filter(F.transform("words", lambda w, i: F.when(w.isin(*ANCHORS), i)), lambda x: x.isNotNull()))
+
+    def near(n: int):
+        starts = f"sequence(greatest(0, p - {n - 1}), least(p, size(words) - {n}))"
+        return F.expr(f"case when size(words) >= {n} then flatten(transform(at, p -> transform({starts}, i -> array_join(slice(words, i + 1, {n}), ' ')))) else cast(array() as array<string>) end")
+
+    rows = rows.withColumn("grams", F.array_distinct(F.concat(near(1), near(2), near(3))))
     # Template comparison: the share of a template's word pairs that the paragraph has.
-    pairs = F.array_distinct(F.transform(n_gram(2), lambda g: F.array_join(g, " ")))
-    rows = rows.withColumn("pairs", pairs)
+    pairs = "case when size(words) >= 2 then transform(sequence(0, size(words) - 2), i -> array_join(slice(words, i + 1, 2), ' ')) else cast(array() as array<string>) end"
+    rows = rows.withColumn("pairs", F.array_distinct(F.expr(pairs)))
     shares = {}
     for family, texts in TEMPLATES.items():
         each = []
@@ -135,7 +139,8 @@ def scan(documents: DataFrame, threshold: float = 0.5, overlap: float = 0.6, tex
             each.append(F.size(F.array_intersect("pairs", F.array(*map(F.lit, its)))) / len(its))
         shares[family] = F.greatest(*each)
     rows = rows.select("doc_id", "row", "paragraph", "grams", F.array(*(shares[f] for f in TEMPLATES)).alias("shares"))
-    scored = rows.select("doc_id", "row", "paragraph", "shares", F.explode("grams").alias("gram")).join(F.broadcast(table), "gram")
+    # An outer explode: from a plain one Spark infers a filter on the n-grams, and pushed down it would compute the words again for each of them.
+    scored = rows.select("doc_id", "row", "paragraph", "shares", F.explode_outer("grams").alias("gram")).join(F.broadcast(table), "gram")
     sums = [F.sum(F.col("w")[k]).alias(f"z{k}") for k in range(len(CLASSES))]
     scored = scored.groupBy("row", "paragraph").agg(F.first("doc_id").alias("doc_id"), F.first("shares").alias("shares"), *sums)
     z = [(F.col(f"z{k}") + F.lit(float(intercepts[k]))) / F.lit(temperature) for k in range(len(CLASSES))]
