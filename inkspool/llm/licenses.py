@@ -18,7 +18,8 @@ paragraphs again; an empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -117,7 +118,9 @@ def scan(documents: DataFrame, threshold: float = 0.5, overlap: float = 0.6, tex
     table = spark.createDataFrame([(g, [round(float(v), 9) for v in w]) for g, w in weights.items()], "gram string, w array<double>")
     pattern = r"\b(?:" + "|".join(sorted(ANCHORS)) + r")\b"
     rows = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(F.lower(F.col(text)), "\n")).alias("paragraph", "line"))
-    rows = rows.filter(F.col("line").rlike(pattern))
+    # Plain substrings first: every anchor contains one of these, and most lines none.
+    stems = [a for a in ANCHORS if not any(b != a and b in a for b in ANCHORS)]
+    rows = rows.filter(reduce(or_, (F.col("line").contains(x) for x in stems))).filter(F.col("line").rlike(pattern))
     rows = rows.select("doc_id", "row", "paragraph", F.filter(F.transform(F.split("line", WORDS), lambda w: F.regexp_replace(w, r"^\.+|\.+$", "")), lambda w: w != "").alias("words"))
     # An n-gram that contains an anchor starts at most n - 1 words before it.
     rows = rows.withColumn("at", F.filter(F.transform("words", lambda w, i: F.when(w.isin(*ANCHORS), i)), lambda x: x.isNotNull()))
@@ -129,7 +132,8 @@ def scan(documents: DataFrame, threshold: float = 0.5, overlap: float = 0.6, tex
     rows = rows.withColumn("grams", F.array_distinct(F.concat(near(1), near(2), near(3))))
     # Template comparison: the share of a template's word pairs that the paragraph has.
     pairs = "case when size(words) >= 2 then transform(sequence(0, size(words) - 2), i -> array_join(slice(words, i + 1, 2), ' ')) else cast(array() as array<string>) end"
-    rows = rows.withColumn("pairs", F.array_distinct(F.expr(pairs)))
+    wanted = sorted({f"{a} {b}" for texts in TEMPLATES.values() for t in texts for a, b in zip(t.split(), t.split()[1:], strict=False)})
+    rows = rows.withColumn("pairs", F.array_distinct(F.filter(F.expr(pairs), lambda x: x.isin(*wanted))))
     shares = {}
     for family, texts in TEMPLATES.items():
         each = []
