@@ -46,7 +46,9 @@ def encoder(raw: bytes, pattern: str):
             rest = len(token.lstrip(WHITE))
             lead[k] = len(token) - rest if rest else 0
         _made.clear()
-        _made[key] = (tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, size, lead)
+        # The special token is never allowed, so a text that holds it is encoded as ordinary; without one the library's search for them matches everywhere.
+        own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|none|>": max(ranks.values()) + 1})
+        _made[key] = (lambda text: own.encode_to_numpy(text, disallowed_special=()), size, lead)
     return _made[key]
 
 
@@ -97,7 +99,7 @@ def _attribute(raw: bytes, pattern: str):
                 if not text:
                     rows.append((i, "empty", 0, 0, 0))
                     continue
-                ids = np.array(encode(text.decode()), np.int64)
+                ids = encode(text.decode()).astype(np.int64)
                 starts, kinds = sections(text)
                 owner, crosses = attribute(ids, starts, size, lead)
                 if size[ids].sum() != len(text):
