@@ -16,20 +16,20 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     under the smallest of their component. A star's centre has many edges;
     its neighbours are only ever aggregated and joined, never listed.
     """
-    now = scratch.cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), f"{name}-0")
-    before = None
+    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
     for k in range(1, 100):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = now.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
-        # The centre itself is a smaller neighbour's larger one, or already the smallest.
-        large = large.union(now.join(least, "u").filter("m < u").select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+        # Neighbours above a centre, and the centre itself, go under its least neighbour.
+        large = now.select("u", F.col("v").alias("c")).join(least.select(F.col("u").alias("c"), "m"), "c").select("u", F.col("m").alias("v"))
+        large = large.union(least.filter("m < u").select("u", F.col("m").alias("v")))
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(smallest.select("u", F.col("m").alias("v"))).distinct()
-        now = scratch.cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), f"{name}-{k}")
-        scratch.drop(f"{name}-{k - 1}")
-        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before:
-            return now.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
-        before = state
+        small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(smallest.select("u", F.col("m").alias("v")))
+        now = scratch.cut(small.distinct(), f"{name}-{k}")
+        if k > 1:
+            scratch.drop(f"{name}-{k - 1}")
+        # Settled: no id hangs under two, none that hangs has others under it.
+        ends = now.select(F.col("u").alias("id"), F.lit(1).alias("under"), F.lit(0).alias("over")).union(now.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("id").agg(F.sum("under").alias("under"), F.max("over").alias("over")).filter("under + over > 1 and under > 0").isEmpty():
+            return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     raise RuntimeError("components did not settle")
