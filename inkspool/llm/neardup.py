@@ -393,7 +393,7 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, join: Join = Join(),
         return full.mapInArrow(_confirm(join.percent), "a long, b long")
 
     edges = scratch.cut(confirm(compare(members)), "edges-0")
-    found = scratch.cut(components(edges, scratch, "links-0"), "components-0")
+    found = components(edges, scratch, "links-0")
     for level in range(1, join.deepest + 1):
         # A large node that is one component by now has nothing left to find.
         large = members.filter("large").select("node", "id", "first").distinct().join(found, "id", "left").select("node", "id", "first", F.coalesce("component", "id").alias("c"))
@@ -410,9 +410,17 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, join: Join = Join(),
         branched = open_rows.select("node", "id").join(rest, "node").join(sketches, "id").select("node", "id", "sketch").mapInArrow(_branch, "node long, id long")
         members = runs(branched, f"members-{level}")
         candidates = candidates.union(compare(members))
-        edges = edges.union(scratch.cut(confirm(candidates.distinct()), f"edges-{level}"))
-        found = scratch.cut(components(edges, scratch, f"links-{level}"), f"components-{level}")
-        scratch.drop(f"members-{level - 1}", f"open-{level}", f"components-{level - 1}")
+        # New links matter as far as they unite components: only those go into another search.
+        left, right = (found.select(F.col("id").alias(c), F.col("component").alias(f"{c}_c")) for c in "ab")
+        links = confirm(candidates.distinct()).join(left, "a", "left").join(right, "b", "left")
+        links = links.select(F.coalesce("a_c", "a").alias("a"), F.coalesce("b_c", "b").alias("b")).filter("a <> b")
+        links = scratch.cut(links, f"edges-{level}")
+        if not links.isEmpty():
+            united = components(links, scratch, f"links-{level}")
+            onto = united.select(F.col("id").alias("component"), F.col("component").alias("to"))
+            moved = found.join(onto, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+            found = scratch.cut(moved.union(united), f"components-{level}")
+        scratch.drop(f"members-{level - 1}", f"open-{level}")
     grouped = classes.select("k1", "k2", "id", "copies").join(found, "id", "left").filter("copies > 1 or component is not null")
     grouped = grouped.select("k1", "k2", F.coalesce("component", "id").alias("component"))
     out = base.select("doc_id", "n_shingles", "k1", "k2").join(grouped, ["k1", "k2"], "left")
