@@ -69,8 +69,3 @@ def quality_warnings(blank: Column, mae: Column, drift: Column, live_text: Colum
     drift = F.when(blank, F.lit(1.0)).otherwise(F.coalesce(drift, F.lit(1.0)))
     each = [F.when(blank, "blank"), F.when(mae > mae_limit, "mae"), F.when(drift > drift_limit, "drift"), F.when(live_text, "text"), F.when(alpha, "alpha")]
     return F.array_compact(F.array(*each))
-
-
-def archive_name(name: Column, digest: Column, taken_by: Column) -> Column:
-    """Where a source is archived: its name, or with 12 digits of its hash where another content has the name."""
-    return F.when(taken_by.isNull() | (taken_by == digest), name).otherwise(F.concat(safe_stem(name), F.lit("_"), F.substring(digest, 1, 12), F.regexp_extract(name, r"(\.[^.]*)$", 1)))

@@ -52,18 +52,20 @@ def monotone(rows: DataFrame, key: str = "file") -> DataFrame:
     return rows.withColumn("ok", F.coalesce(F.col("d") >= F.max("d").over(day), F.lit(True)))
 
 
-def fold(rows: DataFrame, key: str = "file") -> DataFrame:
+def fold(rows: DataFrame, key: str = "file", since: str | None = None) -> DataFrame:
     """The state of each key after its accepted rows (seq, dt, d, acc, roy, explicit), in their order.
 
     dl_latest, dl_date, royalty: of the last row that is not older than the one
     before it; first_seen: the earliest day with evidence of acceptance;
     accepted_date: the first given; status: the last that a row states or implies.
+    since: a column with the date that the key has reached before.
     """
     ok = monotone(rows, key).filter("ok")
     order = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     evidence = (F.col("explicit") == "accepted") | F.col("acc").isNotNull() | (F.col("d") > 0)
     said = F.when(F.col("explicit").isin(*EXPLICIT), F.col("explicit")).when(evidence, "accepted")
-    ok = ok.withColumns({"record": F.coalesce(F.col("dt") >= F.max("dt").over(order), F.lit(True)), "evidence": F.coalesce(evidence, F.lit(False)), "said": said})
+    reached = F.greatest(F.max("dt").over(order), F.col(since)) if since else F.max("dt").over(order)
+    ok = ok.withColumns({"record": F.coalesce(F.col("dt") >= reached, F.lit(True)), "evidence": F.coalesce(evidence, F.lit(False)), "said": said})
     last = lambda value, when: F.max_by(value, F.when(when, F.col("seq")))
     return ok.groupBy(key).agg(
         F.count("*").alias("observations"),
@@ -80,3 +82,27 @@ def history(rows: DataFrame, key: str = "file") -> DataFrame:
     """One row per key and day: the last accepted count, and the last royalty known that day."""
     ok = monotone(rows, key).filter("ok")
     return ok.groupBy(key, "dt").agg(F.max_by("d", "seq").alias("downloads"), F.max_by("roy", F.when(F.col("roy").isNotNull(), F.col("seq"))).alias("royalty"))
+
+
+def resume(rows: DataFrame, log: DataFrame, past: DataFrame, key: str = "file") -> DataFrame:
+    """The fold of later rows on top of a fold (log) and the history (past) of the earlier ones.
+
+    A count below that of the same day in the past is dropped, a row older than
+    the log's date changes no latest value. Keys of either side are returned.
+    """
+    floor = past.select(key, "dt", F.col("downloads").alias("_floor"))
+    dated = log.select(key, F.col("dl_date").alias("_date"))
+    kept = rows.join(floor, [key, "dt"], "left").filter("_floor is null or d >= _floor").drop("_floor")
+    new = fold(kept.join(dated, key, "left"), key, "_date").alias("n")
+    old = log.alias("o")
+    o, n = (lambda c, t=t: F.col(f"{t}.{c}") for t in "on")
+    merged = {
+        "observations": F.coalesce(o("observations"), F.lit(0)) + F.coalesce(n("observations"), F.lit(0)),
+        "dl_latest": F.coalesce(n("dl_latest"), o("dl_latest")),
+        "dl_date": F.greatest(o("dl_date"), n("dl_date")),
+        "royalty": F.coalesce(n("royalty"), o("royalty")),
+        "first_seen": F.least(o("first_seen"), n("first_seen")),
+        "accepted_date": F.coalesce(o("accepted_date"), n("accepted_date")),
+        "status": F.coalesce(n("status"), o("status")),
+    }
+    return old.join(new, o(key) == n(key), "full_outer").select(F.coalesce(o(key), n(key)).alias(key), *(c.alias(name) for name, c in merged.items()))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspool.functions import text as T
-from inkspool.operators import assets, observations, paths, pixels, report, upsert
+from inkspool.operators import assets, observations, paths, pixels, report, rules, upsert
 from inkspool.session import table
 
 QUERIES: dict = {}
@@ -369,3 +369,33 @@ def kmeans_colors(spark, d):
     v = table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = KMeans(k=8, seed=42, maxIter=20).fit(v)
     return model.transform(v).select("vec_id", F.col("prediction").alias("cluster"))
+
+
+@query(SQL["observation_fold"])
+def observation_resume(spark, d):
+    """Two imports, the second on top of the first, give what one import of all rows gives."""
+    rows = _observations(spark, d).filter("valid")
+    first = rows.filter("seq < 1000")
+    return observations.resume(rows.filter("seq >= 1000"), observations.fold(first), observations.history(first))
+
+
+@query("""select vec_id, round(abs(list_sum(list_transform(range(1, 33), lambda i: cast(embedding[2 * i - 1] as double) * embedding[case when i = 32 then 2 else 2 * i + 2 end] - cast(embedding[2 * i] as double) * embedding[case when i = 32 then 1 else 2 * i + 1 end]))) / 2, 6) as area
+from embeddings""")
+def polygon_area(spark, d):
+    point = lambda at: F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.get("embedding", i * 2 + at).cast("double"))
+    return table(spark, d, "embeddings").select("vec_id", F.round(rules.polygon_area(point(0), point(1)), 6).alias("area"))
+
+
+@query("""select p_partkey, case when p_size < 5 or p_size * 2 < 35 then 2 when p_size * 2 < 70 then 4 else 8 end as filter_speckle,
+  case when p_size < 5 or p_size * 2 < 70 then 6 else 4 end as color_precision from part""")
+def tracing_parameters(spark, d):
+    chosen = rules.tracing_parameters(F.col("p_size") * 2, F.col("p_size") < 5)
+    return table(spark, d, "part").select("p_partkey", chosen["filter_speckle"].alias("filter_speckle"), chosen["color_precision"].alias("color_precision"))
+
+
+@query("""select p_partkey, case when p_partkey % 3 = 1 then 'f' || p_partkey || '__' || sha256(p_name) || '.png' else 'f' || p_partkey || '__' || left(sha256(p_name), 12) || '.png' end as name,
+  case p_partkey % 3 when 0 then 'move' when 1 then case when p_partkey % 2 = 0 then 'conflict' else 'move' end else 'delete' end as action from part""")
+def archive_targets(spark, d):
+    k, digest = F.col("p_partkey"), F.sha2(F.col("p_name"), 256)
+    chosen = rules.archive_target(F.concat(F.lit("in/f"), k, F.lit(".png")), digest, F.when(k % 3 == 1, "other").when(k % 3 == 2, digest), F.when(k % 2 == 0, "other"))
+    return table(spark, d, "part").select("p_partkey", chosen["name"].alias("name"), chosen["action"].alias("action"))

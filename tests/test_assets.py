@@ -1,5 +1,6 @@
 """The asset operators against small, written-out cases and a sequential model."""
 
+import json
 from datetime import date, timedelta
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from inkspool import engines
 from inkspool.functions import text as T
-from inkspool.operators import assets, observations, paths, pixels, report, upsert
+from inkspool.operators import assets, observations, paths, pixels, report, rules, upsert
 from inkspool.sources import tables
 
 
@@ -155,3 +156,58 @@ def test_engines_fail_visibly(spark):
     df = spark.createDataFrame([(1, b"ab")], "asset_id long, content binary")
     assert engines.apply(df).first().ok is False
     assert bytes(engines.apply(df, lambda b: b[::-1]).first().payload) == b"ba"
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(ROW, min_size=2, max_size=10), min_size=8, max_size=20))
+def test_two_imports_agree_with_one(spark, many):
+    data = [(f"f{k}", i, *r) for k, seq in enumerate(many) for i, r in enumerate(seq)]
+    df = spark.createDataFrame(data, "file string, seq int, dt date, d long, acc date, roy double, explicit string")
+    first = df.filter("seq < 4")
+    out = observations.resume(df.filter("seq >= 4"), observations.fold(first), observations.history(first))
+    got = {r.file: (r.dl_latest, r.dl_date, r.royalty, r.first_seen, r.accepted_date, r.status) for r in out.collect()}
+    assert got == {f"f{k}": model(seq) for k, seq in enumerate(many)}
+
+
+def test_response_rules(spark):
+    body = lambda **e: json.dumps({"error": e})
+    model_only = [{"violations": [{"quotaId": "x", "quotaDimensions": {"model": "m"}}]}]
+    data = [
+        (1, "7", body(details=[{"retryDelay": "12.5s"}], message="retry after 3 s")),
+        (2, "Thu, 01 Jan 2026 00:01:30 GMT", body(message="x")),
+        (3, None, None),
+        (9, "soon", "no json"),
+        (1, None, body(details=[{"retryDelay": "1s"}, *model_only])),
+        (1, None, body(details=[{"violations": [{"quotaId": "RequestsPerDay"}]}])),
+        (1, None, body(details=[{"violations": [{"quotaMetric": "m", "quotaValue": "0"}]}], message="per day")),
+        (1, None, body(message="Daily quota reached")),
+    ]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(data)], "k int, attempt int, header string, body string").orderBy("k")
+    now = F.timestamp_seconds(F.lit(1767225600))
+    got = df.select(rules.retry_delay(F.col("header"), F.col("body"), F.col("attempt"), now), rules.long_quota(F.col("body")), rules.quota_scope(F.col("body"))).collect()
+    assert [r[0] for r in got] == [12.5, 90.0, 8.0, 60.0, 1.0, 2.0, 2.0, 2.0]
+    assert [r[1] for r in got] == [None, None, None, None, None, "daily", "zero", "daily"]
+    assert [r[2] for r in got] == ["provider"] * 4 + ["model"] + ["provider"] * 3
+
+
+def test_asset_rules(spark):
+    value = lambda c: spark.range(1).select(c).first()[0]
+    lit = lambda v: F.lit(v)
+    colors = lambda *cs: F.array(*(F.array(*map(F.lit, c)) for c in cs))
+    icon = lambda *cs: value(rules.icon_review(lit(True), lit(True), colors((255, 255, 250), *cs)))
+    assert (icon(), icon((10, 20, 30)), icon((230, 230, 230))) == ("empty", None, "pale")
+    assert value(rules.icon_review(lit(False), lit(True), colors((0, 0, 0)))) == "background"
+    board = lambda w, h, box="0 0 1 1", size=1, images=0, n=1, **kw: value(rules.artboard_error(lit(w), lit(h), lit(box), lit(size), lit(images), lit(n), **kw))
+    assert [board(5000.0, 5000.0), board(100.0, 100.0), board(5000.0, 5000.0, ""), board(5000.0, 5000.0, size=45_000_001), board(5000.0, 5000.0, images=1), board(5000.0, 5000.0, n=0), board(2000.0, 500.0, sides=(400, 4000))] == [None, "artboard", "view box", "size", "raster image", "no path", None]
+    target = lambda short, full: tuple(value(rules.archive_target(lit("d/a b.png"), lit("0123456789abcdef"), lit(short), lit(full))))
+    own, other = "0123456789abcdef", "zz"
+    assert target(None, None) == ("a b__0123456789ab.png", "move") and target(own, None)[1] == "delete"
+    assert target(other, None) == ("a b__0123456789abcdef.png", "move") and target(other, own)[1] == "delete" and target(other, other)[1] == "conflict"
+    digests = lambda *x: F.array(*map(F.lit, x)).cast("array<string>")
+    assert [value(rules.sources_intact(digests(*x), lit("a"))) for x in (("a", "a"), (), ("a", None), ("b",))] == [True, False, False, False]
+    assert value(rules.merged_sources(digests("a", "b"), digests("b", "c"))) == ["a", "b", "c"]
+    cache = lambda issues, alpha, forced=False: value(rules.cache_valid(lit(True), lit(True), lit(True), lit(forced), lit(True), digests(*issues), lit(alpha)))
+    assert (cache((), True), cache((), False), cache(("x",), False), cache((), True, True)) == (True, False, True, False)
+    ring = lambda *v: F.array(*map(F.lit, map(float, v)))
+    assert value(rules.polygon_area(ring(0, 2, 2, 0), ring(0, 0, 3, 3))) == 6 and not value(rules.shape_kept(ring(0, 1), ring(0, 9)))
+    assert value(rules.quarantine_path(lit("in/x.png"), lit("0123456789abcdef"))) == "quarantine/0123456789ab/x.png"
