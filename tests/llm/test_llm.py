@@ -284,3 +284,23 @@ def test_pipeline_stages(spark, tmp_path):
     assert "abcdef0123456789" not in " ".join(r.text for r in docs.collect())
     mixed = pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in mixed} == seen[3] and all(r.taken <= 2 * r.size for r in mixed)
+
+
+def test_components_agree_with_union_find(spark):
+    """A chain, stars from either end, a link of an id with itself, repeated links, and no links at all."""
+    from inkspool.llm.graph import components
+
+    links = [(i, i + 1) for i in range(40)] + [(500, 500 + i) for i in range(30)] + [(700 + i, 760) for i in range(30)] + [(7, 7), (3, 2), (3, 2), (900, 900)]
+    parent = {x: x for pair in links for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = [tuple(r) for r in components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"), "links").collect()]
+    assert len(got) == len(dict(got)) and dict(got) == {x: root(x) for x in parent if root(x) != x}
+    assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test"), "links").isEmpty()
