@@ -7,10 +7,10 @@ chosen (as many as 1 / similarity on average), and a document goes to the child
 named by its minwise value there. Documents that end in a node of their own are
 done; a small node is compared exhaustively, first by sketches, then on the full
 sets; in a large one every document is compared with the node's first; if that does
-not unite it, its exact intersections are computed by matrix products, up to a
-bound on its size, above which it is branched on. TREES independent trees repeat
+not unite it, exact intersections of all its pairs are computed by matrix products,
+in pairs of blocks if it is too large for one task. TREES independent trees repeat
 this: a pair at the threshold meets in a tree with probability 0.64, so it is
-missed with probability 0.36 ** TREES, about 1e-9.
+missed with probability 0.36 ** TREES, about 1e-9, whatever the sizes of its nodes.
 
 Links are confirmed on full sets of 64-bit shingle hashes. Pairs are dropped
 unconfirmed only if fewer than SKETCH_SHARE of their minwise values agree, which
@@ -45,19 +45,18 @@ class Join:
     """words: of a shingle; percent: similarity to reach; trees: independent
     trees; depth: levels before nodes are compared; small: documents of a node
     that is compared exhaustively; part: documents of a large node that one task
-    compares with the node's first; dense: documents of a large node that meet
-    in one task, for the first dense_trees trees (a pair at the threshold is
-    missed by those with probability 3e-4); deepest: levels below the first,
-    after which a node of any size meets in one task, row block by row block."""
+    compares with the node's first, or of one block of a pair of blocks; dense:
+    documents of a large node that meet in one task; deepest: levels below the
+    first; above the last of them, nodes of more than ``dense`` documents are
+    branched on (which loses pairs: 1 means never), at it every node is resolved."""
 
     words: int = 5
     percent: int = 80
     trees: int = 20
     depth: int = 3
     small: int = 24
-    deepest: int = 8
+    deepest: int = 1
     dense: int = 4096
-    dense_trees: int = 8
     part: int = 4096
     sketch_share: float = 0.62
 
@@ -401,11 +400,16 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, join: Join = Join(),
         open_rows = scratch.cut(large.join(nodes.filter("low < high").select("node", "own"), "node"), f"open-{level}")
         if open_rows.isEmpty():
             break
-        # Up to a bound, a node's sets meet in one task, which returns links that unite components.
+        # A node's sets meet in one task up to a bound; above it, every two of its blocks do. Returned are links that unite components.
         counted = open_rows.groupBy("node").agg(F.count("*").alias("n"))
-        fits = counted.filter(((F.col("n") <= join.dense) | F.lit(level == join.deepest)) & (F.col("node").bitwiseAND(31) < join.dense_trees)).select("node")
-        together = open_rows.select("node", "id", "c").join(fits, "node").join(sets.select("id", "low"), "id").select("node", "id", "c", "low")
-        candidates = together.repartition("node").sortWithinPartitions("node", "id").mapInArrow(_dense(join.percent), "a long, b long")
+        fits = counted.filter((F.col("n") <= join.dense) | F.lit(level == join.deepest))
+        fits = fits.select("node", F.when(F.col("n") <= join.dense, 1).otherwise(F.ceil(F.col("n") / join.part)).cast("long").alias("blocks"))
+        dealt = open_rows.select("node", "id", "c").join(fits, "node").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        # A block meets itself in pairs with others; alone only if it is the only one.
+        dealt = dealt.filter("blocks = 1 or block <> other").withColumn("pair", F.when(F.col("blocks") > 1, F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.col("node")))
+        together = dealt.select("pair", "id", "c").join(sets.select("id", "low"), "id").select("pair", "id", "c", "low")
+        candidates = together.repartition("pair").sortWithinPartitions("pair", "id").mapInArrow(_dense(join.percent), "a long, b long")
         rest = counted.filter((F.col("n") > join.dense) & F.lit(level < join.deepest)).select("node")
         branched = open_rows.select("node", "id").join(rest, "node").join(sketches, "id").select("node", "id", "sketch").mapInArrow(_branch, "node long, id long")
         members = runs(branched, f"members-{level}")

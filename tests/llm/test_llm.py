@@ -315,3 +315,28 @@ def test_licenses_in_short_forms(spark):
     needed = set(licenses.telling(weights, intercepts))
     rest = [np.maximum(w[1:] - w[0], 0) for g, w in weights.items() if not needed & set(g.split())]
     assert (sum(rest, intercepts[1:] - intercepts[0]) < 0).all()
+
+
+def test_large_nodes_are_resolved_in_every_tree(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = rng.choices("abcdefghij", k=200)  # most of every document, so that nearly all meet in large nodes only
+    texts = []
+    for _ in range(100):  # pairs just above the threshold, all others just below
+        shared = [f"u{rng.randrange(10**6)}" for _ in range(4)]
+        texts += [" ".join(passage + shared + [f"u{rng.randrange(10**6)}" for _ in range(24)]) for _ in range(2)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    roots = neardup._roots
+
+    def late(trees, depth):
+        def run(batches):
+            for k, batch in enumerate(roots(trees, depth)(batches)):
+                if k % trees >= 8:
+                    yield batch
+
+        return run
+
+    monkeypatch.setattr(neardup, "_roots", late)
+    for join in (neardup.Join(), neardup.Join(dense=30, part=16)):  # in one task, and in pairs of blocks
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df, Scratch(spark, "t"), join).collect()}
+        assert got == brute_components(rows, 5, 80)
