@@ -9,7 +9,9 @@ with other numbers and names in it, but not where the placeholders of unrelated
 texts happen to line up.
 
 A document is contaminated by an item if consistent alignments hold at least
-``percent`` of the item's windows. Windows with few literal words do not count.
+``percent`` of the item's windows, or if one of them covers ``run`` words of the
+item without a gap, whatever share of a long item that is. Windows with few
+literal words do not count.
 
 Cases: null and empty texts have no windows; an item shorter than a window is
 one window of its own length, and one of fewer than ``shortest`` words is not
@@ -43,13 +45,15 @@ STOP[[33, 46, 58, 63]] = True
 @dataclass(frozen=True)
 class Rules:
     """window: words; literal: words of it at least that are no placeholders;
-    shortest: words of an item; percent: of an item's windows to find;
+    shortest: words of an item; percent: of an item's windows to find; run: words
+    of an item without a gap that are enough, whatever their share;
     broadcast: windows of a benchmark that are sent to all tasks at most."""
 
     window: int = 8
     literal: int = 4
     shortest: int = 4
     percent: int = 40
+    run: int = 13
     broadcast: int = 2_000_000
 
 
@@ -155,17 +159,22 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, rules: Rules = Rule
     aligned = both.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("pairs", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))
     # Along one alignment a place of the item occurs once, so these lists are no longer than the item.
     each = aligned.groupBy("doc_id", "item_id", "shift").agg(
+        F.first("size").alias("size"),
         F.collect_set("item_place").alias("places"),
         F.array_distinct(F.flatten(F.collect_list(F.transform("pairs", lambda p: F.struct(p["i"], p["d"]))))).alias("pairs"),
     )
     apart = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
     each = each.filter((apart("i") == F.size("pairs")) & (apart("d") == F.size("pairs")))
+    # Windows cover words without a gap as long as the next begins no later than the last one ends.
+    step = "case when p - r.e > 0 then struct(p as s, p + size as e, r.best as best) else struct(r.s as s, p + size as e, greatest(r.best, p + size - r.s) as best) end"
+    each = each.withColumn("run", F.expr(f"aggregate(array_sort(places), struct(-1L as s, -1L as e, cast(size as long) as best), (r, p) -> {step}, r -> r.best)"))
     out = each.groupBy("doc_id", "item_id").agg(
+        F.max("run").alias("run"),
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("n_windows"),
         F.max(F.size("pairs")).cast("long").alias("n_slots"),
         F.max(F.exists("pairs", lambda p: p["i"] != p["d"])).alias("reparameterised"),
     )
-    out = out.join(F.broadcast(total) if keys is not None else total, "item_id").filter(F.col("n_windows") * 100 >= F.col("n_item_windows") * rules.percent)
+    out = out.join(F.broadcast(total) if keys is not None else total, "item_id").filter((F.col("n_windows") * 100 >= F.col("n_item_windows") * rules.percent) | (F.col("run") >= rules.run))
     return out.select("doc_id", "item_id", "n_windows", "n_item_windows", "n_slots", "reparameterised")
 
 

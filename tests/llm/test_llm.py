@@ -340,3 +340,15 @@ def test_large_nodes_are_resolved_in_every_tree(spark, monkeypatch):
     for join in (neardup.Join(), neardup.Join(dense=30, part=16)):  # in one task, and in pairs of blocks
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df, Scratch(spark, "t"), join).collect()}
         assert got == brute_components(rows, 5, 80)
+
+
+def test_decontamination_finds_passages_of_long_items(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(400)]
+    item, other = words[:200], words[200:]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    passages = [item[50:120], item[50:63], item[50:62], item[20:28] + other[:9] + item[90:98], item[:8] + other[:1] + item[9:17]]
+    df = spark.createDataFrame([(k, " ".join(other[:40] + p + other[40:])) for k, p in enumerate(passages)], "doc_id long, text string")
+    for rules in (decontaminate.Rules(), decontaminate.Rules(broadcast=0)):
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench, rules).collect()} == {(0, 1), (1, 1)}
+    assert {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()} == {2, 3, 4}
