@@ -10,8 +10,10 @@ texts happen to line up.
 
 A document is contaminated by an item if consistent alignments hold at least
 ``percent`` of the item's windows, or if one of them covers ``run`` words of the
-item without a gap, whatever share of a long item that is. Windows with few
-literal words do not count.
+item without a gap, whatever share of a long item that is. As templates, windows
+with few literal words do not count; but all windows are also joined by their
+plain words, so a word-for-word copy of any item is found. The share is reached
+if it is among the templates or among all windows; n_windows counts all.
 
 Cases: null and empty texts have no windows; an item shorter than a window is
 one window of its own length, and one of fewer than ``shortest`` words is not
@@ -22,6 +24,7 @@ benchmark or table gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -62,8 +65,8 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(Chunk(np.frombuffer(data, np.uint8), np.array([0, len(data)]), 0).hashes())
 
 
-def template(chunk: Chunk, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, slot kind or 0, core start, core end) of all words of a chunk."""
+def template(chunk: Chunk, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, slot kind or 0, core start, core end, plain words) of all words of a chunk."""
     data, start, end = chunk.data, chunk.start.copy(), chunk.end.copy()
     stopped = STOP[data[end - 1]] if len(end) else np.zeros(0, bool)
     for _ in range(6):  # punctuation of up to six marks on either side
@@ -90,30 +93,32 @@ def template(chunk: Chunk, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         unit[1:] = (units[at] == plain)[1:] & number[:-1]
     kind = np.where(number, 1, np.where(unit, 3, np.where(name, 2, 0)))
     tokens = np.choose(kind, [plain, NUMBER, NAME, UNIT]) if len(plain) else plain
-    return tokens, kind, start, end
+    return tokens, kind, start, end, plain
 
 
 def _windows(sizes: list[int], rules: Rules, keys: np.ndarray | None):
-    """(id, size, place, hash, slots) of the windows of (id, text); with keys, of those whose hash is among them."""
+    """(id, size, place, exact, hash, slots) of the windows of (id, text), as templates and as plain words; with keys, of those whose hash is among them."""
     units = _unit_hashes()
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for chunk in chunks(batch.column(1)):
-                tokens, kind, start, end = template(chunk, units)
+                tokens, kind, start, end, plain = template(chunk, units)
                 literal = np.concatenate([[0], np.cumsum(kind == 0)])
                 n, doc = len(tokens), chunk.doc
-                for size in sizes:
+                for size, exact in product(sizes, (False, True)):
                     full = n - size + 1
                     if full <= 0:
                         continue
                     odd = mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
                     value = np.zeros(full, np.uint64)
                     for j in range(size):
-                        value += tokens[j : j + full] * odd[j]
-                    value = mix(value + np.uint64(size))
-                    use = (doc[:full] == doc[size - 1 :]) & (literal[size:] - literal[: full] >= min(rules.literal, size))
+                        value += (plain if exact else tokens)[j : j + full] * odd[j]
+                    value = mix(value + np.uint64(size + 64 * exact))
+                    use = doc[:full] == doc[size - 1 :]
+                    if not exact:
+                        use &= literal[size:] - literal[:full] >= min(rules.literal, size)
                     if keys is not None:
                         use &= keys[np.minimum(np.searchsorted(keys, value), len(keys) - 1)] == value if len(keys) else False
                     at = np.flatnonzero(use)
@@ -128,16 +133,17 @@ def _windows(sizes: list[int], rules: Rules, keys: np.ndarray | None):
                             pa.array([ids[chunk.first + d] for d in doc[at]], pa.int64()),
                             pa.array(np.full(len(at), size, np.int32)),
                             pa.array((at - chunk.word_at[:-1][doc[at]]).astype(np.int64)),
+                            pa.array(np.full(len(at), exact)),
                             pa.array(as_signed(value[at])),
                             pa.array(slots, pa.list_(pa.string())),
                         ],
-                        ["id", "size", "place", "hash", "slots"],
+                        ["id", "size", "place", "exact", "hash", "slots"],
                     )
 
     return run
 
 
-SCHEMA = "id long, size int, place long, hash long, slots array<string>"
+SCHEMA = "id long, size int, place long, exact boolean, hash long, slots array<string>"
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
@@ -149,32 +155,42 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, rules: Rules = Rule
     sizes = sorted(r[0] for r in items.select("n").distinct().collect())  # a few lengths, up to the window
     long = items.select("item_id", "text").mapInArrow(_windows(sizes or [rules.window], rules, None), SCHEMA)
     long = long.withColumnRenamed("id", "item_id").join(items.select("item_id", F.col("n").alias("size")), ["item_id", "size"])
-    total = long.groupBy("item_id").agg(F.count("*").alias("n_item_windows"))
+    total = long.groupBy("item_id").agg(F.count_if("exact").alias("n_item_windows"), F.count_if(~F.col("exact")).alias("n_item_templates"))
     # A benchmark of a checked size goes to every task, which then returns only the windows that can join.
     found = long.select("hash").distinct().limit(rules.broadcast + 1).toPandas()["hash"].to_numpy()
     keys = np.sort(found.astype(np.int64).view(np.uint64)) if len(found) <= rules.broadcast else None
     mine = documents.select("doc_id", F.col(text).alias("text")).mapInArrow(_windows(sizes, rules, keys), SCHEMA)
-    theirs = long.select("item_id", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
-    both = mine.withColumnRenamed("id", "doc_id").join(F.broadcast(theirs) if keys is not None else theirs, ["hash", "size"])
-    aligned = both.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("pairs", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))
+    theirs = long.select("item_id", "size", "exact", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    both = mine.withColumnRenamed("id", "doc_id").join(F.broadcast(theirs) if keys is not None else theirs, ["hash", "size", "exact"])
+    # Equal plain words fill the item's slots with their own values.
+    zipped = F.transform(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d")))
+    same = F.transform("item_slots", lambda x: F.struct(x.alias("i"), x.alias("d")))
+    aligned = both.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("pairs", F.when(F.col("exact"), same).otherwise(zipped))
     # Along one alignment a place of the item occurs once, so these lists are no longer than the item.
+    of = lambda what, column: F.collect_list(F.when(what, F.col(column)))
     each = aligned.groupBy("doc_id", "item_id", "shift").agg(
         F.first("size").alias("size"),
-        F.collect_set("item_place").alias("places"),
-        F.array_distinct(F.flatten(F.collect_list(F.transform("pairs", lambda p: F.struct(p["i"], p["d"]))))).alias("pairs"),
+        *(F.struct(F.array_distinct(of(what, "item_place")).alias("places"), F.array_distinct(F.flatten(of(what, "pairs"))).alias("pairs")).alias(name) for name, what in (("all", F.lit(True)), ("template", ~F.col("exact")))),
+        F.array_distinct(of(~F.col("exact"), "item_place")).alias("templates"),
     )
-    apart = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
-    each = each.filter((apart("i") == F.size("pairs")) & (apart("d") == F.size("pairs")))
+    apart = lambda x, side: F.size(F.array_distinct(F.transform(x["pairs"], lambda p: p[side]))) == F.size(x["pairs"])
+    consistent = lambda x: apart(x, "i") & apart(x, "d")
+    # Plain words that contradict consistent templates do not take those away.
+    each = each.withColumn("kept", F.when(consistent(F.col("all")), F.col("all")).when(consistent(F.col("template")) & (F.size("templates") > 0), F.col("template")))
+    each = each.filter("kept is not null").select("doc_id", "item_id", "size", "templates", "kept.*")
     # Windows cover words without a gap as long as the next begins no later than the last one ends.
     step = "case when p - r.e > 0 then struct(p as s, p + size as e, r.best as best) else struct(r.s as s, p + size as e, greatest(r.best, p + size - r.s) as best) end"
     each = each.withColumn("run", F.expr(f"aggregate(array_sort(places), struct(-1L as s, -1L as e, cast(size as long) as best), (r, p) -> {step}, r -> r.best)"))
     out = each.groupBy("doc_id", "item_id").agg(
         F.max("run").alias("run"),
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("n_windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("templates")))).cast("long").alias("n_templates"),
         F.max(F.size("pairs")).cast("long").alias("n_slots"),
         F.max(F.exists("pairs", lambda p: p["i"] != p["d"])).alias("reparameterised"),
     )
-    out = out.join(F.broadcast(total) if keys is not None else total, "item_id").filter((F.col("n_windows") * 100 >= F.col("n_item_windows") * rules.percent) | (F.col("run") >= rules.run))
+    out = out.join(F.broadcast(total) if keys is not None else total, "item_id")
+    share = lambda found, every: (F.col(found) > 0) & (F.col(found) * 100 >= F.col(every) * rules.percent)
+    out = out.filter(share("n_templates", "n_item_templates") | share("n_windows", "n_item_windows") | (F.col("run") >= rules.run))
     return out.select("doc_id", "item_id", "n_windows", "n_item_windows", "n_slots", "reparameterised")
 
 

@@ -352,3 +352,12 @@ def test_decontamination_finds_passages_of_long_items(spark):
     for rules in (decontaminate.Rules(), decontaminate.Rules(broadcast=0)):
         assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench, rules).collect()} == {(0, 1), (1, 1)}
     assert {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()} == {2, 3, 4}
+
+
+def test_decontamination_finds_exact_copies_of_every_item(spark):
+    items = ["Compute 12 + 34 * 5", "page 7 of it", "3 1 4 1 5 9 2 6 5 3 5 8", "We met Anna, Bert, Carl, Dora, Emil, Fritz, Gerd, Hans, Ida there"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"and then {x} and on" for x in items] + ["compute 13 + 35 * 6", "page 8 of it", "2 7 1 8 2 8 1 8 2 8 4 5", items[3].replace("Bert", "Bob").replace("Dora", "Dan").replace("Gerd", "Gus")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rules in (decontaminate.Rules(), decontaminate.Rules(broadcast=0)):
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench, rules).collect()} == {(k, k) for k in range(4)}
