@@ -2,8 +2,8 @@
 
 Three patterns give the base spans. A conditional random field then tags the
 words of every text as outside, begin or inside of a secret, from the word's
-shape, the words before it and features of the whole text, and adds the spans it
-finds beside the base ones. It is trained here, in numpy, on sentences that
+shape, the words before it and features of the whole text, and adds the parts of
+the spans it finds that no base span covers. It is trained here, in numpy, on sentences that
 ``training_sentences`` writes (a bounded, seeded sample with labels).
 
 Decoding is exact Viterbi, but only where it can matter: a word whose score for
@@ -43,6 +43,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of start..end that none of the spans, in order of their starts, covers."""
+    out = []
+    for a, b, _ in spans:
+        if start < min(a, end):
+            out.append((start, min(a, end)))
+        start = max(start, b)
+    return [*out, (start, end)] if start < end else out
+
+
 def _class(ranges) -> np.ndarray:
     out = np.zeros(256, bool)
     for a, b in ranges:
@@ -282,8 +292,10 @@ def _scan(weights, steps, cues):
                         points = code_points(data[chunk.text_at[i] : chunk.text_at[i + 1]])
                         for s, t in found[i]:
                             s, t = (int(points[x - chunk.text_at[i]]) for x in (s, t))
-                            if all(t <= a or b <= s for a, b, _ in base):
-                                spans.append((s, t, "crf"))
+                            for a, b in uncovered(s, t, base):
+                                b -= len(text[a:b]) - len(text[a:b].rstrip())
+                                a += len(text[a:b]) - len(text[a:b].lstrip())
+                                spans += [(a, b, "crf")] * (a < b)
                     spans.sort(key=lambda x: (x[0], KINDS.index(x[2])))
                     written = lambda xs: ",".join(f"{k}:{s}:{t}" for s, t, k in xs)
                     rows.append((tuple(sum(x[2] == k for x in base) for k in KINDS[:3]), written(base), written(spans)))

@@ -361,3 +361,12 @@ def test_decontamination_finds_exact_copies_of_every_item(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for rules in (decontaminate.Rules(), decontaminate.Rules(broadcast=0)):
         assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench, rules).collect()} == {(k, k) for k in range(4)}
+
+
+def test_secrets_keep_what_the_model_adds_to_a_base_span(spark):
+    texts = ['password = "hunter2xyz!Q9$kk"', "token=aB3dE6fG7hJ8!kL9mN0pQ2rS and more"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.spans for r in secrets.scan(df).orderBy("doc_id").collect()] == ["assign:0:22,crf:22:28", "assign:0:18,crf:18:30"]
+    out = [r.text for r in secrets.redact(df).orderBy("doc_id").collect()]
+    assert not any(x in t for t in out for x in ("Q9", "kk", "kL9"))
+    assert secrets.uncovered(0, 9, [(2, 3, ""), (1, 5, ""), (7, 20, "")]) == [(0, 2), (5, 7)] and secrets.uncovered(3, 5, [(0, 4, ""), (6, 9, "")]) == [(4, 5)]
