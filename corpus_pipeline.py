@@ -9,6 +9,7 @@ mixing says how many words of every document the training mix takes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from inkspool.llm import decontaminate, mixing, neardup, quality, secrets
 from inkspool.session import Scratch
@@ -18,15 +19,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.clean(docs)
 
 
+def rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The documents with ``row``, a key of their own: a doc_id can be null or stand for several texts."""
+    return scratch.cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = neardup.near_duplicates(docs, Scratch(spark, "near_dedup"))
-    dropped = groups.filter("not kept").select("doc_id").distinct()
-    # Rows that share a doc_id are one document.
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id"])
+    scratch = Scratch(spark, "near_dedup")
+    own = rows(docs, scratch)
+    without = own.filter("doc_id is null").select("row")  # linked with nothing
+    groups = neardup.near_duplicates(own.filter("doc_id is not null").select(F.col("row").alias("doc_id"), "text"), scratch)
+    # A text without words is linked with none but those of its own doc_id.
+    groups = groups.select(F.col("doc_id").alias("row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
+    groups = groups.join(own.select("row", "doc_id", F.xxhash64("text").alias("hash")), "row")
+    first = groups.groupBy("group", F.when(F.col("group").isNull(), F.col("doc_id")).alias("blank")).agg(F.min(F.struct("doc_id", "hash", "row")).alias("first"))
+    return own.join(first.select("first.row").union(without), "row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    own = rows(docs, Scratch(spark, "decontamination")).withColumnRenamed("doc_id", "id").withColumnRenamed("row", "doc_id")
+    clean = decontaminate.decontaminate(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return clean.drop("doc_id").withColumnRenamed("id", "doc_id").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -370,3 +370,19 @@ def test_secrets_keep_what_the_model_adds_to_a_base_span(spark):
     out = [r.text for r in secrets.redact(df).orderBy("doc_id").collect()]
     assert not any(x in t for t in out for x in ("Q9", "kk", "kL9"))
     assert secrets.uncovered(0, 9, [(2, 3, ""), (1, 5, ""), (7, 20, "")]) == [(0, 2), (5, 7)] and secrets.uncovered(3, 5, [(0, 4, ""), (6, 9, "")]) == [(4, 5)]
+
+
+def test_pipeline_keeps_rows_without_or_with_a_shared_doc_id(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(300)]
+    a, b, c, d, e, item = (" ".join(rng.choices(words, k=40)) for _ in range(6))
+    data = [(None, a), (None, b), (None, a), (1, c), (1, d), (1, c), (2, d), (0, e), (3, e), (4, ""), (4, None), (5, ""), (None, item), (6, item), (6, b)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    count = lambda df: collections.Counter((r.doc_id, r.text or "") for r in df.collect())
+    kept = pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert count(kept) == collections.Counter([(None, a), (None, b), (None, a), (1, c), (1, d), (0, e), (4, ""), (5, ""), (None, item), (6, item), (6, b)])
+    clean = pipeline.decontamination(spark, kept, str(tmp_path))
+    assert count(clean) == count(kept) - collections.Counter([(None, item), (6, item)]) and clean.columns == docs.columns
