@@ -6,6 +6,8 @@ the slots are thrown over the output shards, so the counts of the sources in a
 shard are multinomial while each source's total is exact. Slot k of a source
 reads block ``permutation[k mod blocks]``; another permutation is used for each
 pass over the source, so no block is read twice before all were read once.
+``mixed`` makes the output: one row per slot of a shard with the words of its
+block. ``taken`` counts each document's words in those rows.
 
 Cases: a null text has size 0, a null source is a source of its own that comes
 last, a source without words has target 0 and is not drawn from; equal rows are
@@ -78,7 +80,7 @@ def placed(documents: DataFrame, columns: list[str]) -> DataFrame:
     sums = docs.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "range", F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("range_start"))
-    inside = Window.partitionBy("source", "range").orderBy(F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy(F.col("doc_id").asc_nulls_first(), "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     docs = docs.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     docs = docs.alias("d").join(sums.alias("s"), (F.col("d.range") == F.col("s.range")) & F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.*", (F.col("before") + F.col("range_start")).alias("start"))
     return docs.select(*columns, "start")
@@ -99,31 +101,48 @@ def draws(sources: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def pieces(documents: DataFrame) -> DataFrame:
-    """One row per document and block that it has words in: rank, block, words."""
-    out = documents.filter("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {BLOCK_WORDS}, (start + size - 1) div {BLOCK_WORDS})")))
-    return out.withColumn("words", F.expr(f"least(start + size, (block + 1) * {BLOCK_WORDS}) - greatest(start, block * {BLOCK_WORDS})"))
+    """One row per document and block that it has words in: rank, block, start, row, doc_id, text (the words, one space apart)."""
+    lead = F.expr(f"cast({BLOCK_WORDS} - start % {BLOCK_WORDS} as int)")  # words up to the next block
+    head = F.call_function("substring_index", "words", F.lit(" "), lead)
+    out = documents.filter("size > 0").withColumn("head", head)
+    rest = F.regexp_extract_all(F.substring("words", F.length("head") + 2, F.length("words")), F.lit(f"((?:[^ ]++ ?+){{1,{BLOCK_WORDS}}}+)"), F.lit(1))
+    out = out.select("rank", "start", "row", "doc_id", F.posexplode(F.concat(F.array("head"), rest)).alias("at", "text"))
+    return out.select("rank", F.expr(f"start div {BLOCK_WORDS} + at").alias("block"), "start", "row", "doc_id", F.rtrim("text").alias("text"))
+
+
+def mix(documents: DataFrame, text: str = "text", seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(sources, placed documents, draws, words of the documents): together they say which words go where."""
+    # Texts are read for their sizes, and again for the blocks, by doc_id and content: equal rows have equal texts.
+    keys = [F.coalesce("doc_id", F.lit(-1)).alias("h0"), F.xxhash64(F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(text)).alias("h2")]
+    sized = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", words(F.col(text)).alias("size"), *keys)
+    short = Scratch(documents.sparkSession, "mixing").cut(sized, "sizes")
+    texts = documents.select(*keys, F.trim(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", " ")).alias("words")).filter("words <> ''")
+    sources = targets(short)
+    at = placed(short, ["row", "doc_id", "source", "size", "h0", "h1", "h2"])
+    at = at.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
+    return sources, at.select("d.*", "rank", "source_size", "target"), draws(sources, seed), texts.groupBy("h0", "h1", "h2").agg(F.first("words").alias("words"))
 
 
-def mix(documents: DataFrame, text: str = "text", seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sources, placed documents, draws): together they say which words go where."""
-    # The texts are read once; everything after that works on three short columns.
-    sized = Scratch(documents.sparkSession, "mixing").cut(documents.select("doc_id", "source", words(F.col(text)).alias("size")), "sizes")
-    sources = targets(sized)
-    at = placed(sized, ["doc_id", "source", "size"])
-    at = at.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    return sources, at.select("d.*", "rank", "source_size", "target"), draws(sources, seed)
+def _mixed(at: DataFrame, drawn: DataFrame, texts: DataFrame) -> DataFrame:
+    # The planner takes plans and draws for as small as the sources they come from; they grow with the words and must not be broadcast.
+    placed_texts = at.select("row", "doc_id", "rank", "start", "size", "h0", "h1", "h2").hint("merge").join(texts, ["h0", "h1", "h2"])
+    blocks = pieces(placed_texts).groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("start", "row", "doc_id", "text"))).alias("parts"))
+    return drawn.hint("merge").join(blocks, ["rank", "block"]).select("shard", "rank", "slot", "pass", "block", "parts")
+
+
+def mixed(documents: DataFrame, text: str = "text", seed: int = 0) -> DataFrame:
+    """shard, source, slot, pass, block, doc_ids, text: one row per slot of a source in an output shard, with the words of its block."""
+    sources, at, drawn, texts = mix(documents, text, seed)
+    rows = _mixed(at, drawn, texts).join(F.broadcast(sources.select("rank", "source")), "rank")
+    return rows.select("shard", "source", "slot", "pass", "block", F.col("parts.doc_id").alias("doc_ids"), F.array_join("parts.text", " ").alias("text"))
 
 
 def taken(documents: DataFrame, text: str = "text", seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the words that the mix takes of each document."""
-    _, at, drawn = mix(documents, text, seed)
-    # The planner takes the draws for as small as the sources they come from; they grow with the words and must not be broadcast.
-    copies = drawn.groupBy("rank", "block").agg(F.count("*").alias("copies")).hint("merge")
-    used = pieces(at).join(copies, ["rank", "block"], "left").withColumn("used", F.col("words") * F.coalesce("copies", F.lit(0)))
-    used = used.groupBy("doc_id", "rank", "start", "size", "source_size", "target").agg(F.sum("used").alias("taken"))
-    columns = ["doc_id", "size", "source_size", "target"]
-    none = at.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"))
-    return used.select(*columns, "taken").unionByName(none)
+    """doc_id, size, source_size, target, taken: the words of each document in the rows of the mix."""
+    _, at, drawn, texts = mix(documents, text, seed)
+    parts = _mixed(at, drawn, texts).select(F.explode("parts").alias("part"))
+    used = parts.groupBy("part.row").agg(F.sum(words(F.col("part.text"))).alias("used")).hint("merge")
+    return at.join(used, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("used", F.lit(0)).cast("long").alias("taken"))
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:

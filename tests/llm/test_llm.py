@@ -386,3 +386,21 @@ def test_pipeline_keeps_rows_without_or_with_a_shared_doc_id(spark, tmp_path):
     assert count(kept) == collections.Counter([(None, a), (None, b), (None, a), (1, c), (1, d), (0, e), (4, ""), (5, ""), (None, item), (6, item), (6, b)])
     clean = pipeline.decontamination(spark, kept, str(tmp_path))
     assert count(clean) == count(kept) - collections.Counter([(None, item), (6, item)]) and clean.columns == docs.columns
+
+
+def test_mixing_makes_the_shards(spark, docs, empty):
+    rows = mixing.mixed(docs).collect()
+    assert len({(r.shard, r.source, r.slot) for r in rows}) == len(rows)
+    # Of every source, its words in their order, cut into blocks; a block is drawn as often as the plan says.
+    sources, at, drawn, _ = mixing.mix(docs)
+    assert len(rows) == drawn.count() and collections.Counter(r.source for r in rows) == {r.source: r.slots for r in sources.collect()}
+    texts = {}
+    for r in at.join(docs.select("doc_id", "text").distinct(), "doc_id").distinct().orderBy("start").collect():
+        texts.setdefault(r.source, []).extend(WORD.findall(r.text or ""))
+    for r in rows:
+        assert r.text.split(" ") == texts[r.source][r.block * 64 : (r.block + 1) * 64] and r.doc_ids
+    counts = collections.Counter()
+    for r in rows:
+        counts[r.source] += len(r.text.split(" "))
+    sums = mixing.taken(docs).alias("t").join(docs.select("doc_id", "source").distinct(), "doc_id").groupBy("source").sum("taken").collect()
+    assert counts == {r[0]: r[1] for r in sums} and mixing.mixed(empty).count() == 0
