@@ -10,9 +10,11 @@ rendering the turn once more with a text that marks its place.
 The template given here escapes its control strings inside texts, reversibly, so
 turns and loss mask can be read back from the output.
 
-Long conversations are rendered in blocks of turns, each with the turn before it
-in front, so cost and memory follow the length and not its square; a template
-that rewrites further back than a block must be given ``block=None``.
+Prefixes are rendered from the start, at a cost that grows with the square of a
+conversation. Only for a template that declares by an attribute ``independent``
+that it renders every turn on its own, as the default one does, or on request, are
+they rendered in blocks of turns, each with the turn before it in front, so that
+cost and memory follow the length.
 
 Cases: null texts and roles are empty; equal turn numbers go by role and text; a
 null conv_id is a conversation of its own; repeated rows are turns. Extra columns
@@ -60,6 +62,9 @@ def render(turns: list[Turn]) -> str:
     return "".join(out)
 
 
+render.independent = True
+
+
 def read_turn(span: str) -> Turn:
     """The turn that the default template wrote as ``span``."""
     if span.startswith("<s>[INST] "):
@@ -72,12 +77,14 @@ def read_turn(span: str) -> Turn:
     return "assistant", unescape(span[1 : -len(" </s>\n")])
 
 
-def spans(turns: Iterable[Turn], template: Callable[[list[Turn]], str] = render, block: int | None = BLOCK) -> Iterator[tuple[str, int, int, bool]]:
+def spans(turns: Iterable[Turn], template: Callable[[list[Turn]], str] = render, block: int | None = None) -> Iterator[tuple[str, int, int, bool]]:
     """(new text, content start, content end, rewrites) of every turn, in order.
 
     Content offsets are within the new text, -1 if the marked rendering does not
-    show them. Prefixes grow within a block, behind the turn before the block.
+    show them. Prefixes grow within a block, behind the turn before the block;
+    without a block, from the start unless the template is independent.
     """
+    block = block or (BLOCK if getattr(template, "independent", False) else None)
     held: list[Turn] = []
     before = ""
     for turn in turns:
@@ -192,7 +199,7 @@ def _sorted(conversations: DataFrame) -> DataFrame:
     return out.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
-def formatted(conversations: DataFrame, template: Callable[[list[Turn]], str] = render, block: int | None = BLOCK) -> DataFrame:
+def formatted(conversations: DataFrame, template: Callable[[list[Turn]], str] = render, block: int | None = None) -> DataFrame:
     """One row per turn: the text it adds to the output, the loss mask in it, whether it rewrites history."""
     return _sorted(conversations).mapInArrow(_formatted(template, block), SPANS)
 

@@ -404,3 +404,15 @@ def test_mixing_makes_the_shards(spark, docs, empty):
         counts[r.source] += len(r.text.split(" "))
     sums = mixing.taken(docs).alias("t").join(docs.select("doc_id", "source").distinct(), "doc_id").groupBy("source").sum("taken").collect()
     assert counts == {r[0]: r[1] for r in sums} and mixing.mixed(empty).count() == 0
+
+
+def test_chat_renders_long_conversations_from_the_start(spark):
+    def moves(turns):  # the first text goes into the last turn
+        return "".join(f"<{t}>" for _, t in turns[1:-1]) + f"<{turns[0][1]}|{turns[-1][1]}>"
+
+    turns = [("system", "rules")] + [("user", f"t{k}") for k in range(40)]
+    assert [x[3] for x in chat.spans(turns, moves)] == [False] + [True] * 40
+    assert [x[0] for x in chat.spans(turns, moves)][-1] == "t38><rules|t39>"
+    df = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    assert [r.span for r in chat.formatted(df, moves).orderBy("turn").collect()] == [x[0] for x in chat.spans(turns, moves)]
+    assert list(chat.spans(turns)) == list(chat.spans(turns, lambda x: chat.render(x)))
