@@ -5,8 +5,7 @@ from inkspool.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(4, 4, "4g")
+    session = local_session(4, 4, "4g", str(tmp_path_factory.mktemp("checkpoints")))
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
