@@ -1,9 +1,10 @@
 """Vectorised words of Arrow text batches.
 
 A word is ``[^\\x20\\x09-\\x0D]+``. Words are found and hashed on the UTF-8 bytes
-of a whole batch at once, so no Python code runs per word. A word's hash is a
-64-bit polynomial over its bytes with A-Z lowered (on demand), finished by a
-mixing step; equal words have equal hashes in every batch, task and run.
+of a whole batch at once, so no Python code runs per usual word. A word's 64-bit
+hash chains a mixing step over its length and its bytes, eight at a time, with
+A-Z lowered (on demand); a word of more than LONG bytes is hashed by xxh3. Equal
+words have equal hashes in every batch, task and run.
 """
 
 from __future__ import annotations
@@ -13,14 +14,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-BYTES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = np.arange(256)
 LOWER[65:91] += 32
+#: The first k bytes of eight, read as a little-endian number.
+FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer words (in bytes) are hashed one by one.
+LONG = 64
 #: Texts of so many bytes are handled at once; a longer text goes alone.
 CHUNK_BYTES = 4 << 20
 
@@ -32,12 +36,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 class Chunk:
     """The words of some consecutive texts.
 
@@ -67,14 +65,20 @@ class Chunk:
 
     def hashes(self, lower: bool = True) -> np.ndarray:
         """The 64-bit hash of every word."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        lut = BYTES[LOWER] if lower else BYTES
-        n = len(self.data)
-        total = np.empty(n + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(lut[self.data] * powers(BASE, n - 1)[:n], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * powers(INVERSE, n)[self.start])
+        data = np.zeros(len(self.data) + 8, np.uint8)
+        data[:-8] = LOWER.astype(np.uint8)[self.data] if lower else self.data
+        eight = np.ndarray((len(self.data) + 1,), "<u8", data, strides=(1,))  # the eight bytes from every offset on
+        size = self.end - self.start
+        out = mix(size.astype(np.uint64) * BASE)
+        for k in range(0, LONG, 8):
+            at = np.flatnonzero((size > k) & (size <= LONG))
+            if not len(at):
+                break
+            piece = eight[self.start[at] + k] & FIRST[np.minimum(size[at] - k, 8)]
+            out[at] = mix(out[at] ^ mix(piece + BASE))
+        for i in np.flatnonzero(size > LONG).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(data[self.start[i] : self.end[i]])
+        return out
 
     def text(self, i: int) -> str:
         return self.data[self.text_at[i] : self.text_at[i + 1]].tobytes().decode()

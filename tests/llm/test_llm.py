@@ -90,7 +90,7 @@ def brute_components(rows, k, percent):
     return {d: (len(s), root(d)) for d, s in sets.items()}
 
 
-@pytest.mark.parametrize("join", [neardup.Join(words=4), neardup.Join(words=5, small=2, dense=40, part=8), neardup.Join(words=4, small=2, dense=1, deepest=3)])
+@pytest.mark.parametrize("join", [neardup.Join(words=4), neardup.Join(words=5, small=2, dense=40, part=8), neardup.Join(words=4, small=2, dense=1, part=5, hot=10)])
 def test_near_duplicates_agree_with_brute_force(spark, join):
     rng = random.Random(7)
     base = [rng.choices("abcdefghij", k=60) for _ in range(6)]
