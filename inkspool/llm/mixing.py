@@ -1,22 +1,26 @@
 """Operator 7: mixing sources to target weights, as column expressions only.
 
 The documents of a source are laid end to end and cut into blocks of a fixed
-number of words. Every source gets a quota of slots (its target, in blocks);
-the slots are thrown over the output shards, so the counts of the sources in a
-shard are multinomial while each source's total is exact. Slot k of a source
-reads block ``permutation[k mod blocks]``; another permutation is used for each
-pass over the source, so no block is read twice before all were read once.
-``mixed`` makes the output: one row per slot of a shard with the words of its
-block. ``taken`` counts each document's words in those rows.
+number of words. Every output shard has SHARD_SLOTS slots; each of them draws its
+source by the sources' targets, so the counts of the sources in a shard are
+multinomial, and they alone decide how much of a source is taken: near its target,
+with the deviation of a multinomial draw. The slots of a source are numbered
+through, shard by shard; slot k reads block ``permutation[k mod blocks]``, by a
+keyed pseudorandom permutation (ROUNDS rounds of swap-or-not) that is another one
+for each pass over the source, so no block is read twice before all were read
+once. Slots beyond MOST_PASSES passes stay empty. ``mixed`` makes the output: one
+row per slot of a shard with the words of its block, joined by index. ``taken``
+counts each document's words in those rows.
 
 Cases: a null text has size 0, a null source is a source of its own that comes
 last, a source without words has target 0 and is not drawn from; equal rows are
 distinct documents. Extra columns are ignored. An empty table gives no rows.
 
-Scale: prefix sums run in ranges of documents within a source, never over a
-whole source in one task; the only tables joined whole are one row per source
-or per range. Slots are made by a two-step explode, so no row makes more than
-SLOT_RANGE rows.
+Scale: prefix sums run in ranges of about RANGE_DOCS documents within a source,
+dealt by a digest of id and text, never over a whole source in one task; sources
+are sorted in one task, one short row each, and so are the shards of a source
+(their counts). Slots are dealt to a number of tasks that follows from their
+number. Only one-row-per-source tables are broadcast.
 """
 
 from __future__ import annotations
@@ -33,13 +37,19 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 #: A source is read so many times at most.
 MOST_PASSES = 2
-#: Documents in a range of the prefix sums, about; slots that one row makes.
-RANGE_DOCS = 16_384
-SLOT_RANGE = 4_096
-#: Output shards get so many slots, about.
+#: Documents in a range of the prefix sums, about.
+RANGE_DOCS = 2_048
+#: Slots of an output shard; slots that one task makes, about.
 SHARD_SLOTS = 65_536
-#: Multipliers of the permutations. A prime permutes the residues of any number of blocks that it does not divide.
-PRIMES = (1_000_000_000_039, 1_000_000_000_061, 1_000_000_000_063, 1_000_000_000_091)
+TASK_SLOTS = 262_144
+#: Rounds of the permutations, and the prime of their round function.
+ROUNDS = 24
+PRIME = (1 << 31) - 1
+
+
+def digits(text: Column, at: int, many: int) -> Column:
+    """Some hexadecimal digits of the MD5 of a text, as a number."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), at, many), 16, 10).cast("long")
 
 
 def words(text: Column) -> Column:
@@ -72,32 +82,55 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def placed(documents: DataFrame, columns: list[str]) -> DataFrame:
-    """The documents with rank, source_size, target, blocks, slots and ``start``, the
-    number of words of their source that come before them."""
+    """The documents with ``start``, the number of words of their source that come before them."""
     many = documents.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / RANGE_DOCS)).cast("long").alias("ranges"))
-    docs = documents.join(F.broadcast(many)).withColumn("range", F.pmod(F.coalesce("doc_id", F.lit(-1)), F.col("ranges")))
+    docs = documents.join(F.broadcast(many)).withColumn("range", F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % F.col("ranges"))
     # A hot source is spread over its ranges; only their sums meet.
     sums = docs.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "range", F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("range_start"))
-    inside = Window.partitionBy("source", "range").orderBy(F.col("doc_id").asc_nulls_first(), "size", "row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("digest", "row").rowsBetween(Window.unboundedPreceding, -1)
     docs = docs.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     docs = docs.alias("d").join(sums.alias("s"), (F.col("d.range") == F.col("s.range")) & F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.*", (F.col("before") + F.col("range_start")).alias("start"))
     return docs.select(*columns, "start")
 
 
+def permuted(index: Column, blocks: Column, keys: Column) -> Column:
+    """The index's place under the permutation of 0..blocks-1 that the keys (a, b) give: by each, it may be swapped with its mirror at a."""
+
+    def swap(x: Column, key: Column) -> Column:
+        mirror = F.pmod(key["a"] - x, blocks)
+        top = F.greatest(x, mirror)
+        mixed = (top % PRIME + F.floor(top / PRIME) * 69_621 + key["b"]) % PRIME
+        return F.when(F.floor(mixed * mixed % PRIME * mixed % PRIME / 4_096) % 2 == 1, mirror).otherwise(x)
+
+    return F.aggregate(keys, index, swap)
+
+
 def draws(sources: DataFrame, seed: int = 0) -> DataFrame:
-    """One row per drawn slot: rank, shard, slot, pass, block."""
-    full = sources.filter("slots > 0").crossJoin(sources.agg(F.greatest(F.lit(1), F.ceil(F.sum("slots") / SHARD_SLOTS)).cast("long").alias("shards")))
-    full = full.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {SLOT_RANGE}"))))
-    full = full.repartition(F.col("rank"), F.col("part"))
-    full = full.withColumn("k", F.explode(F.expr(f"sequence(part * {SLOT_RANGE}, least(slots, (part + 1) * {SLOT_RANGE}) - 1)")))
-    full = full.withColumn("pass", F.expr("k div blocks")).withColumn("index", F.expr("k % blocks"))
-    prime = F.element_at(F.array(*(F.lit(p) for p in PRIMES)), (F.pmod(F.col("rank") + F.col("pass") + seed, F.lit(len(PRIMES))) + 1).cast("int"))
-    shift = F.col("rank") * 7919 + F.col("pass") * 104729 + 12345 + seed
-    block = ((F.col("index") + shift).cast("decimal(18,0)") * prime.cast("decimal(15,0)")) % F.col("blocks").cast("decimal(18,0)")
-    shard = F.pmod(F.xxhash64("rank", "k", F.lit(seed)), F.col("shards"))
-    return full.select("rank", shard.alias("shard"), F.col("k").alias("slot"), "pass", block.cast("long").alias("block"))
+    """One row per drawn slot: rank, shard, slot (of its source), pass, block."""
+    spark = sources.sparkSession
+    total, many = sources.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
+    drawn = sources.filter("slots > 0").select("rank", "slots", "blocks")
+    # What the shares of the sources end at, in the order of their ranks: one short row per source.
+    ends = drawn.agg(F.array_sort(F.collect_list(F.struct("rank", "slots"))).alias("all")).select("all.rank", F.expr("transform(all.slots, (x, i) -> aggregate(slice(all.slots, 1, i + 1), 0L, (a, y) -> a + y))").alias("ends"))
+    tasks = max(1, -(-total // TASK_SLOTS))
+    slots = spark.range(0, total, 1, tasks).select(F.floor(F.col("id") / SHARD_SLOTS).alias("shard"), F.floor(digits(F.concat(F.lit(f"{seed}:"), F.col("id")), 1, 13) / float(1 << 52) * F.lit(total)).alias("at"))
+    # The first share that ends behind the drawn place, by halving.
+    halve = lambda r, _: F.when(F.get("ends", ((r["lo"] + r["hi"]) / 2).cast("int")) > F.col("at"), F.struct(r["lo"].alias("lo"), ((r["lo"] + r["hi"]) / 2).cast("int").alias("hi"))).otherwise(F.struct((((r["lo"] + r["hi"]) / 2).cast("int") + 1).alias("lo"), r["hi"].alias("hi")))
+    steps = F.array(*(F.lit(0) for _ in range(max(1, many).bit_length())))
+    chosen = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), (F.size("ends") - 1).alias("hi")), lambda r, i: F.when(r["lo"] < r["hi"], halve(r, i)).otherwise(r))
+    counts = slots.join(F.broadcast(ends)).select("shard", F.get("rank", chosen["lo"]).alias("rank")).groupBy("shard", "rank").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("from", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    # The keys of the permutations: a row per source and pass.
+    name = lambda i: F.concat_ws(":", F.lit(str(seed)), "rank", "pass", i)
+    keys = drawn.withColumn("pass", F.explode(F.expr(f"sequence(0L, {MOST_PASSES - 1}L)"))).select("rank", "pass", F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda i: F.struct((digits(name(i), 1, 13) % F.col("blocks")).alias("a"), digits(name(i), 14, 7).alias("b"))).alias("keys"))
+    full = counts.join(F.broadcast(drawn.select("rank", "blocks")), "rank").withColumn("most", F.least(F.col("n"), F.col("blocks") * MOST_PASSES - F.col("from"))).filter("most > 0")
+    full = full.repartition(tasks)  # a number of its own, which is not made smaller because these rows are few
+    full = full.withColumn("slot", F.explode(F.expr("sequence(from, from + most - 1)")))
+    full = full.withColumn("pass", F.expr("slot div blocks")).join(F.broadcast(keys), ["rank", "pass"])
+    return full.select("rank", "shard", "slot", "pass", permuted(F.expr("slot % blocks"), F.col("blocks"), F.col("keys")).alias("block"))
 
 
 def pieces(documents: DataFrame) -> DataFrame:
@@ -112,20 +145,20 @@ def pieces(documents: DataFrame) -> DataFrame:
 
 def mix(documents: DataFrame, text: str = "text", seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(sources, placed documents, draws, words of the documents): together they say which words go where."""
-    # Texts are read for their sizes, and again for the blocks, by doc_id and content: equal rows have equal texts.
-    keys = [F.coalesce("doc_id", F.lit(-1)).alias("h0"), F.xxhash64(F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(text)).alias("h2")]
-    sized = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", words(F.col(text)).alias("size"), *keys)
+    # Texts are read for their sizes, and again for the blocks, by a digest of doc_id and content: equal rows have equal texts.
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))).cast("binary")).alias("digest")
+    sized = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", words(F.col(text)).alias("size"), digest)
     short = Scratch(documents.sparkSession, "mixing").cut(sized, "sizes")
-    texts = documents.select(*keys, F.trim(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", " ")).alias("words")).filter("words <> ''")
+    texts = documents.select(digest, F.trim(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", " ")).alias("words")).filter("words <> ''")
     sources = targets(short)
-    at = placed(short, ["row", "doc_id", "source", "size", "h0", "h1", "h2"])
+    at = placed(short, ["row", "doc_id", "source", "size", "digest"])
     at = at.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    return sources, at.select("d.*", "rank", "source_size", "target"), draws(sources, seed), texts.groupBy("h0", "h1", "h2").agg(F.first("words").alias("words"))
+    return sources, at.select("d.*", "rank", "source_size", "target"), draws(sources, seed), texts.groupBy("digest").agg(F.first("words").alias("words"))
 
 
 def _mixed(at: DataFrame, drawn: DataFrame, texts: DataFrame) -> DataFrame:
     # The planner takes plans and draws for as small as the sources they come from; they grow with the words and must not be broadcast.
-    placed_texts = at.select("row", "doc_id", "rank", "start", "size", "h0", "h1", "h2").hint("merge").join(texts, ["h0", "h1", "h2"])
+    placed_texts = at.select("row", "doc_id", "rank", "start", "size", "digest").hint("merge").join(texts, "digest")
     blocks = pieces(placed_texts).groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("start", "row", "doc_id", "text"))).alias("parts"))
     return drawn.hint("merge").join(blocks, ["rank", "block"]).select("shard", "rank", "slot", "pass", "block", "parts")
 
@@ -149,11 +182,20 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
     return taken(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def mixing_sql(documents: str = "documents") -> str:
+def mixing_sql(documents: str = "documents", seed: int = 0) -> str:
     """The same in DuckDB over a table of documents."""
+    key = lambda i, at, many: f"('0x' || substr(md5('{seed}:' || rnk || ':' || pass || ':{i}'), {at}, {many}))::bigint"
+    rounds = ",\n".join(
+        f"""x{i} as (
+  select rnk, blocks, pass, case when mixed * mixed % {PRIME} * mixed % {PRIME} // 4096 % 2 = 1 then mirror else x end as x
+  from (select *, (greatest(x, mirror) % {PRIME} + greatest(x, mirror) // {PRIME} * 69621 + {key(i, 14, 7)}) % {PRIME} as mixed
+    from (select *, (({key(i, 1, 13)} % blocks - x) % blocks + blocks) % blocks as mirror from x{i - 1})))"""
+        for i in range(1, ROUNDS + 1)
+    )
     return rf"""
 with sized as (
-  select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size from {documents}),
+  select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
+    md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')) as digest from {documents}),
 ranges as (select greatest(1, cast(ceil(count(*) / {RANGE_DOCS}) as bigint)) as n from sized),
 each as (
   select *, case rnk % 3 when 0 then {WEIGHTS[0]} when 1 then {WEIGHTS[1]} else {WEIGHTS[2]} end as weight, {MOST_PASSES} * source_size as cap
@@ -167,13 +209,16 @@ sources as (
   select source, rnk, source_size, target, blocks, least(cast(floor(target / {BLOCK_WORDS} + 0.5) as bigint), blocks * {MOST_PASSES}) as slots
   from (select e.*, coalesce(least(cast(cap as double), f.lvl * weight), cast(cap as double)) as target, cast(ceil(source_size / {BLOCK_WORDS}) as bigint) as blocks from each e, found f)),
 placed as (
-  select d.*, coalesce(sum(size) over (partition by source order by ((coalesce(doc_id, -1) % n) + n) % n, doc_id nulls first, size rows between unbounded preceding and 1 preceding), 0) as start
+  select d.*, coalesce(sum(size) over (partition by source order by ('0x' || substr(digest, 1, 8))::bigint % n, digest rows between unbounded preceding and 1 preceding), 0) as start
   from sized d, ranges),
-drawn as (
-  select rnk, cast((cast(k % blocks + rnk * 7919 + (k // blocks) * 104729 + 12345 as hugeint)
-      * [{", ".join(map(str, PRIMES))}][(rnk + k // blocks) % {len(PRIMES)} + 1]) % blocks as bigint) as block
-  from (select *, unnest(range(slots)) as k from sources where slots > 0)),
-copies as (select rnk, block, count(*) as n from drawn group by all),
+shares as (select rnk, blocks, sum(slots) over (order by rnk) - slots as lo, sum(slots) over (order by rnk) as hi, sum(slots) over () as total from sources where slots > 0),
+slots as (
+  select id // {SHARD_SLOTS} as shard, cast(floor(('0x' || substr(md5('{seed}:' || id), 1, 13))::bigint / {float(1 << 52)}::double * total) as bigint) as place
+  from (select unnest(range(coalesce(total, 0)::bigint)) as id, total from (select max(total) as total from shares))),
+drawn as (select rnk, blocks, row_number() over (partition by rnk order by shard) - 1 as k from slots join shares on place >= lo and place < hi),
+x0 as (select rnk, blocks, k // blocks as pass, k % blocks as x from drawn where k < blocks * {MOST_PASSES}),
+{rounds},
+copies as (select rnk, x as block, count(*) as n from x{ROUNDS} group by all),
 pieces as (
   select p.doc_id, p.size, p.start, s.rnk, s.source_size, s.target, unnest(range(cast(start // {BLOCK_WORDS} as bigint), cast((start + size - 1) // {BLOCK_WORDS} + 1 as bigint))) as block
   from placed p join sources s on p.source is not distinct from s.source where size > 0),
