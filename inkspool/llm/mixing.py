@@ -2,9 +2,10 @@
 
 The documents of a source are laid end to end and cut into blocks of a fixed
 number of words. Every output shard has SHARD_SLOTS slots; each of them draws its
-source by the sources' targets, so the counts of the sources in a shard are
-multinomial, and they alone decide how much of a source is taken: near its target,
-with the deviation of a multinomial draw. The slots of a source are numbered
+source by the sources' targets, slot i of n from the i-th of n equal strata of all
+targets: a stratified multinomial draw, as plain multinomial counts miss the
+targets of small sources by a quarter. The shards' counts alone decide how much of
+a source is taken, about a block a shard from its target. The slots of a source are numbered
 through, shard by shard; slot k reads block ``permutation[k mod blocks]``, by a
 keyed pseudorandom permutation (ROUNDS rounds of swap-or-not) that is another one
 for each pass over the source, so no block is read twice before all were read
@@ -115,7 +116,9 @@ def draws(sources: DataFrame, seed: int = 0) -> DataFrame:
     # What the shares of the sources end at, in the order of their ranks: one short row per source.
     ends = drawn.agg(F.array_sort(F.collect_list(F.struct("rank", "slots"))).alias("all")).select("all.rank", F.expr("transform(all.slots, (x, i) -> aggregate(slice(all.slots, 1, i + 1), 0L, (a, y) -> a + y))").alias("ends"))
     tasks = max(1, -(-total // TASK_SLOTS))
-    slots = spark.range(0, total, 1, tasks).select(F.floor(F.col("id") / SHARD_SLOTS).alias("shard"), F.floor(digits(F.concat(F.lit(f"{seed}:"), F.col("id")), 1, 13) / float(1 << 52) * F.lit(total)).alias("at"))
+    shard, chance = F.expr(f"id div {SHARD_SLOTS}"), digits(F.concat(F.lit(f"{seed}:"), F.col("id")), 1, 13) / float(1 << 52)
+    size = F.least(F.lit(SHARD_SLOTS).cast("long"), F.lit(total) - shard * SHARD_SLOTS)
+    slots = spark.range(0, total, 1, tasks).select(shard.alias("shard"), F.floor((F.col("id") % SHARD_SLOTS + chance) / size * F.lit(total)).alias("at"))
     # The first share that ends behind the drawn place, by halving.
     halve = lambda r, _: F.when(F.get("ends", ((r["lo"] + r["hi"]) / 2).cast("int")) > F.col("at"), F.struct(r["lo"].alias("lo"), ((r["lo"] + r["hi"]) / 2).cast("int").alias("hi"))).otherwise(F.struct((((r["lo"] + r["hi"]) / 2).cast("int") + 1).alias("lo"), r["hi"].alias("hi")))
     steps = F.array(*(F.lit(0) for _ in range(max(1, many).bit_length())))
@@ -213,7 +216,8 @@ placed as (
   from sized d, ranges),
 shares as (select rnk, blocks, sum(slots) over (order by rnk) - slots as lo, sum(slots) over (order by rnk) as hi, sum(slots) over () as total from sources where slots > 0),
 slots as (
-  select id // {SHARD_SLOTS} as shard, cast(floor(('0x' || substr(md5('{seed}:' || id), 1, 13))::bigint / {float(1 << 52)}::double * total) as bigint) as place
+  select id // {SHARD_SLOTS} as shard, cast(floor((id % {SHARD_SLOTS} + ('0x' || substr(md5('{seed}:' || id), 1, 13))::bigint / {float(1 << 52)}::double)
+      / least({SHARD_SLOTS}, total - id // {SHARD_SLOTS} * {SHARD_SLOTS}) * total) as bigint) as place
   from (select unnest(range(coalesce(total, 0)::bigint)) as id, total from (select max(total) as total from shares))),
 drawn as (select rnk, blocks, row_number() over (partition by rnk order by shard) - 1 as k from slots join shares on place >= lo and place < hi),
 x0 as (select rnk, blocks, k // blocks as pass, k % blocks as x from drawn where k < blocks * {MOST_PASSES}),

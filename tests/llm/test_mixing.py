@@ -23,18 +23,26 @@ def test_permutations_are_whole_and_scattered(spark):
     assert 30 < sum(x < 125 for x in first) * 4 < 250
 
 
-def test_shards_draw_multinomial_counts_that_decide_the_result(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "SHARD_SLOTS", 100)
+def test_the_counts_of_the_shards_decide_the_result(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 70)
     data = [(k, "w " * 64, "abc"[k % 3]) for k in range(3000)]
-    rows = mixing.mixed(spark.createDataFrame(data, SCHEMA)).collect()
+    df = spark.createDataFrame(data, SCHEMA)
+    rows = mixing.mixed(df).collect()
     counts = collections.Counter((r.shard, r.source) for r in rows)
-    shards = max(s for s, _ in counts) + 1
-    share = {"a": 2000 / 4500, "b": 1, "c": 1}["a"]
-    own = [counts[(s, "a")] for s in range(shards)]
-    spread = sum((x - 100 * share) ** 2 for x in own) / len(own)
-    assert shards == 45 and 0.4 < spread / (100 * share * (1 - share)) < 2.2  # as binomial counts spread
-    taken = mixing.taken(spark.createDataFrame(data, SCHEMA)).groupBy("target").agg(F.sum("taken").alias("n")).collect()
-    assert sum(r.n for r in taken) == 64 * len(rows) and all(abs(r.n - r.target) < 4 * 64 * math.sqrt(r.target / 64) for r in taken)
+    shards, targets = max(s for s, _ in counts) + 1, {r.source: r.slots for r in mixing.mix(df)[0].collect()}
+    assert shards == 65 and sum(targets.values()) == 4500
+    own = [counts[(s, "b")] - 70 * targets["b"] / 4500 for s in range(64)]
+    assert all(abs(x) < 2 for x in own) and len(set(own)) > 1  # drawn, near the shard's share
+    total = collections.Counter(r.source for r in rows)
+    assert all(abs(total[x] - targets[x]) <= 2 * math.sqrt(shards) for x in "abc")
+    taken = mixing.taken(df.withColumn("doc_id", F.col("doc_id") % 3)).groupBy("doc_id").agg(F.sum("taken")).collect()
+    assert {"abc"[d]: n for d, n in taken} == {x: 64 * n for x, n in total.items()}
+
+
+def test_targets_of_small_sources(spark):
+    data = [(k % 20, "w " * (k * 37 % 300), f"s{k % 20}") for k in range(1000)]
+    out = mixing.taken(spark.createDataFrame(data, SCHEMA)).groupBy("doc_id", "source_size", "target").agg(F.sum("taken").alias("n")).collect()
+    assert len(out) == 20 and all(abs(r.n - r.target) <= 3 * 64 for r in out)
 
 
 @pytest.mark.parametrize("stride", [1, 13])
