@@ -6,8 +6,8 @@ of its characters is rejected. The document-level base rules (too few words,
 too many repeated word windows) are added to that.
 
 Cases: a null or blank text has no words, fails the base rules and is not kept.
-Repeated rows are judged one by one. Extra columns pass through ``clean``;
-columns of its own names are replaced.
+Repeated rows are judged one by one. Extra columns, whatever their names, pass
+through ``clean``; ``measure`` puts its own in place of those of the same names.
 """
 
 from __future__ import annotations
@@ -75,15 +75,16 @@ def line_failure(line: Column, rules: Rules = Rules()) -> Column:
     )
 
 
-def measure(documents: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
-    """documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, n_failed_lines, lost_chars, kept and clean_text (the lines that stay)."""
-    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_failed_lines", "lost_chars", "kept", "clean_text"]
-    kept_columns = [c for c in documents.columns if c not in own]
-    step = documents.select(*kept_columns, *(c.alias(k) for k, c in _columns(F.col(text)).items()))
+#: The columns that ``measure`` adds.
+OWN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_failed_lines", "lost_chars", "kept", "clean_text")
+
+
+def _measured(documents: DataFrame, rules: Rules, text: str) -> DataFrame:
+    """The columns of OWN beside ``_row``, the document's own columns in one, where no name can clash."""
+    step = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"), *(c.alias(k) for k, c in _columns(F.col(f"`{text}`")).items()))
     # Windows of three words as hashes. Most texts have none twice and are done with that.
     step = step.select(
-        *kept_columns, "_text", "_words",
+        "_row", "_text", "_words",
         F.split("_text", "\n").alias("_all_lines"),
         F.expr("""case when size(_words) < 3 then cast(array() as array<bigint>)
                   else transform(sequence(0, size(_words) - 3), i -> xxhash64(_words[i], _words[i + 1], _words[i + 2])) end""").alias("_windows"),
@@ -101,15 +102,15 @@ def measure(documents: DataFrame, rules: Rules = Rules(), text: str = "text") ->
     # Windows overlap: a position adds the words that the one before it did not cover.
     step = step.withColumn("n_repeat_words", F.expr("aggregate(_at, struct(-3 as last, 0L as n), (a, p) -> struct(p as last, a.n + least(3, p - a.last) as n), a -> a.n)"))
     judge = lambda x: F.struct(x.alias("line"), x.rlike(WORD_AT_ALL).alias("words"), F.when(x.rlike(WORD_AT_ALL), line_failure(x, rules)).alias("fault"))
-    step = step.select(*kept_columns, "_text", "_words", "n_repeat_words", F.transform("_all_lines", judge).alias("_judged"))
+    step = step.select("_row", "_text", "_words", "n_repeat_words", F.transform("_all_lines", judge).alias("_judged"))
     step = step.select(
-        *kept_columns, "_text", "_words", "n_repeat_words",
+        "_row", "_text", "_words", "n_repeat_words",
         F.transform(F.filter("_judged", lambda x: x["words"]), lambda x: x["line"]).alias("_lines"),
         F.transform(F.filter("_judged", lambda x: x["fault"].isNotNull()), lambda x: x["line"]).alias("_failed"),
         F.transform(F.filter("_judged", lambda x: x["fault"].isNull()), lambda x: x["line"]).alias("_passed"),
     )
     step = step.select(
-        *kept_columns, "n_repeat_words", "_lines", "_failed", "_passed",
+        "_row", "n_repeat_words", "_lines", "_failed", "_passed",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
@@ -120,17 +121,24 @@ def measure(documents: DataFrame, rules: Rules = Rules(), text: str = "text") ->
     )
     failed = (F.col("n_words") < rules.min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.repeat_percent)
     return step.select(
-        *kept_columns, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "n_lines", "n_failed_lines", "lost_chars",
+        "_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "n_lines", "n_failed_lines", "lost_chars",
         (~failed & (F.col("lost_chars") * 100 <= F.col("word_chars") * rules.lost_percent)).alias("kept"),
         F.array_join("_passed", "\n").alias("clean_text"),
     )
 
 
+def measure(documents: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
+    """documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, n_lines, n_failed_lines, lost_chars, kept and clean_text (the lines that stay)."""
+    others = [c for c in documents.columns if c.lower() not in OWN]
+    return _measured(documents, rules, text).select(*(F.col(f"_row.`{c}`").alias(c) for c in others), *OWN)
+
+
 def clean(documents: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
     """The kept documents with their failing lines taken out; n_chars, if there, follows the text."""
     # The row number keeps the filter above the measures: pushed below, every step would be computed again in the condition.
-    out = measure(documents, rules, text).withColumn("_row", F.monotonically_increasing_id()).filter("kept and _row >= 0")
-    columns = [F.col("clean_text").alias(c) if c == text else F.length("clean_text").cast(dict(documents.dtypes)[c]).alias(c) if c == "n_chars" else F.col(c) for c in documents.columns]
+    out = _measured(documents, rules, text).withColumn("_at", F.monotonically_increasing_id()).filter("kept and _at >= 0")
+    columns = [F.col("clean_text").alias(c) if c == text else F.length("clean_text").cast(t).alias(c) if c == "n_chars" else F.col(f"_row.`{c}`").alias(c) for c, t in documents.dtypes]
     return out.select(*columns)
 
 

@@ -159,7 +159,7 @@ def test_chat_round_trip(spark):
 
 def test_chat_sees_rewritten_history():
     forgets = lambda turns: "".join(t if k >= len(turns) - 2 else "." for k, (_, t) in enumerate(turns))
-    found = [x[3] for x in chat.spans([("user", c * 3) for c in "abcd"], forgets, None)]
+    found = [x[3] for x in chat.spans([("user", c * 3) for c in "abcd"], forgets)]
     assert found == [False, False, True, True]
 
 
