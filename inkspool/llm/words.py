@@ -105,6 +105,18 @@ class Chunk:
         return texts, values
 
 
+def trimmed(data: np.ndarray, start: np.ndarray, end: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words' starts and ends without the marks (a table of bytes) at either side; a word of marks only stays whole."""
+    if not len(start):
+        return start.copy(), end.copy()
+    n, own = len(data), ~marks[data]
+    place = np.arange(n)
+    after = np.minimum.accumulate(np.where(own, place, n)[::-1])[::-1][start]
+    before = np.maximum.accumulate(np.where(own, place, -1))[end - 1] + 1
+    some = after < end
+    return np.where(some, after, start), np.where(some, before, end)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

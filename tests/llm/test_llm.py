@@ -202,11 +202,11 @@ def test_decontamination(spark, docs, empty):
     item = "A train leaves Paris at 9 and goes 120 km to Lyon before it turns back with 40 people of the town on it."
     bench = spark.createDataFrame([(1, item), (2, "tiny one"), (3, None), (4, "the quick brown fox jumps")], "item_id long, text string")
     changed = item.replace("Paris", "Rome").replace("120", "85").replace("Lyon", "Pisa").replace("40", "7")
-    broken = item.replace("Paris", "Rome").replace("9", "85", 1).replace("120", "85")
+    broken = item.replace("Paris", "Rome").replace("Lyon", "Rome").replace("9", "85", 1).replace("120", "85").replace("40", "85")
     data = [(1, "Before it. " + item + " After it all."), (2, "Some words. " + changed), (3, "the quick brown fox jumps again"), (4, "nothing here to see at all my friend"), (5, None), (6, ""), (7, "x. " + broken), (1, "Before it. " + item + " After it all.")]
     df = spark.createDataFrame(data, "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r.reparameterised for r in decontaminate.contaminated(df, bench).collect()}
-    assert got.pop((7, 1), None) is None  # one value stands for two
+    assert got.pop((7, 1), None) is None  # one value stands for all others of its kind
     assert got == {(1, 1): False, (2, 1): True, (3, 4): False}
     assert [r.doc_id for r in decontaminate.decontaminate(df, bench).orderBy("doc_id").collect()] == [4, 5, 6, 7]
     plain = decontaminate.contaminated(df, bench, decontaminate.Rules(broadcast=0))  # joined, not sent to tasks
