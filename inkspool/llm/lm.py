@@ -6,15 +6,23 @@ ids of their own, all other words share ids by their endings and lengths and are
 then told apart by their counts within the id, so that probabilities sum to one
 over all known words and one unknown word per shared id.
 
-Training is numpy, in rounds: every task runs over its own training documents
-from the same start, with noise-contrastive gradient steps, and the results are
-averaged by tokens in whole numbers, so reruns agree. Each document is in one
-round. Scoring computes full normalisers by batched matrix products, once per
-distinct context of a batch.
+Training is numpy, in rounds; each document is in one of them. A round's documents
+are dealt to shards of about SHARD_TOKENS tokens by a hash of id and text, and lie
+there in the order of that hash; every shard takes noise-contrastive gradient steps
+from the same start, and the results are averaged by tokens in whole numbers. So the
+model depends on the rows, not on their files or tasks, and a shard takes as many
+steps whatever the size of the table.
+
+As the model is log-bilinear in two context words, all its normalisers are one
+matrix product: exp(scores by the one) times exp(scores by the other), transposed.
+Tokens are scored by look-ups in these tables, which a worker makes once.
+
+Texts are read twice, to count words and to encode them; the encoded tokens are a
+table in the scratch folder, from which the rounds and the scores are made.
 
 Cases: a null text is empty and has the end as its only token; a null doc_id
-counts as held out; repeated rows are scored one by one; an empty table gives no
-rows. Extra columns are ignored.
+counts as held out; repeated rows are scored one by one, and learnt from once; an
+empty table gives no rows. Extra columns are ignored.
 
 Scale: the HEAD most frequent words (a fixed bound) go to every task; the counts
 of the others are joined. The driver holds the head and the model only.
@@ -22,6 +30,8 @@ of the others are joined. The driver holds the head and the model only.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +41,13 @@ from inkspool.llm.words import Chunk, as_signed, chunks, mix
 from inkspool.session import Scratch
 
 HEAD = 1 << 18
-OWN, SHARED, WIDTH = 512, 256, 16
+OWN, SHARED, WIDTH = 1280, 256, 32
 OUTPUTS = OWN + SHARED
 END_HASH, END = np.int64(-7_046_029_254_386_353_131), OWN - 1
 NOISE, BATCH, RATE, ROUNDS = 64, 8192, 0.15, 2
+SHARD_TOKENS = 2_000_000
 SCALE = 1 << 20
+_tables: dict = {}
 
 
 def shared_id(chunk: Chunk) -> np.ndarray:
@@ -81,20 +93,18 @@ class Vocabulary:
         return np.where(own >= 0, own, out)
 
 
-def sequences(chunk: Chunk, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, one before, two before, id) of all tokens, ends included."""
-    n = len(chunk)
-    total = len(ids) + n
-    ends = chunk.word_at[1:] + np.arange(n)
+def sequences(counts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, one before, two before, id) of all tokens of texts with so many words, ends included."""
+    n, total = len(counts), len(ids) + len(counts)
+    ends = np.cumsum(counts) + np.arange(n)
     token = np.full(total, END, np.int32)
     words = np.ones(total, bool)
     words[ends] = False
     token[words] = ids
-    doc = np.repeat(np.arange(n), chunk.counts + 1)
+    doc = np.repeat(np.arange(n), counts + 1)
     one = np.concatenate([[END], token[:-1]])  # an end stands before every text
     two = np.concatenate([[END, END], token[:-2]])[:total]
-    first = np.concatenate([[0], ends[:-1] + 1])
-    two[first] = END
+    two[np.concatenate([[0], ends[:-1] + 1])] = END
     return doc, one.astype(np.int32), two.astype(np.int32), token
 
 
@@ -130,88 +140,132 @@ def contrast(parameters, squares, unigram, one, two, token, rng) -> None:
             p += RATE * g / (np.sqrt(v) + 1e-6) * np.float32(0.2)
 
 
-def _train(vocabulary: Vocabulary, start, unigram):
-    def run(batches):
+def _tokens(batch, column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, one before, two before, id) of the encoded texts of a batch."""
+    texts = batch.column(column).to_pylist()
+    ids = np.frombuffer(b"".join(texts), np.int16).astype(np.int32)
+    return sequences(np.array([len(t) // 2 for t in texts], np.int64), ids)
+
+
+def _train(start, unigram, number: int):
+    """Sums of the shards' parameters by tokens, from (shard, key, ids) in that order."""
+
+    def learnt(shard: int, held: list) -> tuple[np.ndarray, int]:
+        one, two, token = (np.concatenate([x[j] for x in held]) for j in range(3))
         parameters = [p.copy() for p in start]
-        squares = [np.zeros_like(p) + np.float32(1e-8) for p in parameters]
-        rng, tokens = np.random.default_rng(11), 0
+        contrast(parameters, [np.zeros_like(p) + np.float32(1e-8) for p in parameters], unigram, one, two, token, np.random.default_rng([11, number, shard]))
+        flat = np.concatenate([p.ravel() for p in parameters])
+        return np.round(np.clip(flat, -50, 50).astype(np.float64) * SCALE).astype(np.int64) * len(token), len(token)
+
+    def run(batches):
+        shard, held, total, tokens = None, [], 0, 0
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
-                _, one, two, token = sequences(chunk, vocabulary.ids(chunk, vocabulary.find(as_signed(chunk.hashes()))))
-                contrast(parameters, squares, unigram, one, two, token, rng)
-                tokens += len(token)
-        if tokens:
-            flat = np.concatenate([p.ravel() for p in parameters])
-            whole = np.round(np.clip(flat, -50, 50).astype(np.float64) * SCALE).astype(np.int64) * tokens
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(whole) + 1, dtype=np.int32)), pa.array(np.append(whole, tokens))], ["k", "x"])
+            shards = batch.column(0).to_numpy()
+            if not len(shards):
+                continue
+            doc, one, two, token = _tokens(batch, 1)
+            for s in np.unique(shards).tolist():
+                if s != shard and held:
+                    sums, n = learnt(shard, held)
+                    total, tokens, held = total + sums, tokens + n, []
+                shard, own = s, (shards == s)[doc]
+                held.append((one[own], two[own], token[own]))
+        if held:
+            sums, n = learnt(shard, held)
+            total, tokens = total + sums, tokens + n
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total) + 1, dtype=np.int32)), pa.array(np.append(total, tokens))], ["k", "x"])
 
     return run
 
 
-def log_probabilities(parameters, one: np.ndarray, two: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Natural log of the normalised probability of every token."""
+def log_tables(parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Natural logs: scores of each id by the word before, by the word before that, and normalisers by both."""
     c1, c2, r, bias = parameters
-    pair = one.astype(np.int64) * OUTPUTS + two
-    own, back = np.unique(pair, return_inverse=True)
-    z = np.empty(len(own))
-    for s in range(0, len(own), 4096):
-        q = c1[own[s : s + 4096] // OUTPUTS] + c2[own[s : s + 4096] % OUTPUTS]
-        score = q @ r.T + bias
-        top = score.max(1)
-        np.exp(score - top[:, None], out=score)
-        z[s : s + 4096] = top + np.log(score.sum(1))
-    out = np.empty(len(token))
-    for s in range(0, len(token), 1 << 18):
-        e = slice(s, s + (1 << 18))
-        out[e] = np.einsum("ij,ij->i", c1[one[e]] + c2[two[e]], r[token[e]]) + bias[token[e]]
-    return out - z[back]
-
-
-def _score(vocabulary: Vocabulary, parameters, total: float, shared_log: np.ndarray):
-    """One row per text: what the head gives, and the other words with their numbers."""
+    one, two = c1 @ r.T + bias, c2 @ r.T
+    top_one, top_two = one.max(1, keepdims=True), two.max(1, keepdims=True)
+    z = np.log(np.exp(one - top_one) @ np.exp(two - top_two).T) + top_one + top_two.T
+    return one, two, z
+
+
+def log_probabilities(tables, one: np.ndarray, two: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Natural log of the normalised probability of every token."""
+    by_one, by_two, z = tables
+    return by_one[one, token].astype(np.float64) + by_two[two, token] - z[one, two]
+
+
+def _encode(vocabulary: Vocabulary, total: float, shared_log: np.ndarray):
+    """One row per text: its ids, what the head gives, and the other words with their numbers."""
 
     def run(batches):
+        end = vocabulary.find(np.array([END_HASH]))[0]
+        end = vocabulary.c[end] if end >= 0 else 0
         for batch in batches:
-            for chunk in chunks(batch.column(3)):
+            for chunk in chunks(batch.column(4)):
                 h = as_signed(chunk.hashes())
                 place = vocabulary.find(h)
-                ids = vocabulary.ids(chunk, place)
-                doc, one, two, token = sequences(chunk, ids)
-                n = len(chunk)
-                score = np.bincount(doc, log_probabilities(parameters, one, two, token) / np.log(10), n)
+                ids, n = vocabulary.ids(chunk, place), len(chunk)
                 known = place >= 0
-                own = np.log10(vocabulary.c[place] + 0.1) if len(vocabulary.c) else np.zeros(len(place))
-                end = vocabulary.c[vocabulary.find(np.array([END_HASH]))[0]] if vocabulary.find(np.array([END_HASH]))[0] >= 0 else 0
-                word_doc = chunk.doc
-                base = np.bincount(word_doc, np.where(known, own, 0), n) + np.log10(end + 0.1) - (chunk.counts + 1) * total
-                shared = ids >= OWN
-                score += np.bincount(word_doc, np.where(shared, np.where(known, own, 0) - shared_log[np.maximum(ids - OWN, 0)], 0), n)
+                own = np.where(known, np.log10(vocabulary.c[place] + 0.1), 0) if len(vocabulary.c) else np.zeros(len(place))
+                doc = chunk.doc
+                base = np.bincount(doc, own, n) + np.log10(end + 0.1) - (chunk.counts + 1) * total
+                within = np.bincount(doc, np.where(ids >= OWN, own - shared_log[np.maximum(ids - OWN, 0)], 0), n)
                 rest = np.flatnonzero(~known)
-                order = rest[np.lexsort((h[rest], word_doc[rest]))]
+                order = rest[np.lexsort((h[rest], doc[rest]))]
                 new = np.ones(len(order), bool)
-                new[1:] = (h[order][1:] != h[order][:-1]) | (word_doc[order][1:] != word_doc[order][:-1])
+                new[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
                 first = np.flatnonzero(new)
                 times = np.diff(np.append(first, len(order)))
-                at = np.searchsorted(word_doc[order[first]], np.arange(n + 1))
+                at = np.searchsorted(doc[order[first]], np.arange(n + 1))
                 lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x, kind))
-                rows = [batch.column(j).slice(chunk.first, n) for j in range(3)]
-                n_known = np.bincount(word_doc, known, n).astype(np.int64) + (end > 0)
+                raw = ids.astype(np.int16)
+                n_known = np.bincount(doc, known, n).astype(np.int64) + (end > 0)
                 yield pa.RecordBatch.from_arrays(
-                    [*rows, pa.array((chunk.counts + 1).astype(np.int64)), pa.array(n_known), pa.array(base), pa.array(score), lists(h[order[first]], pa.int64()), lists(times, pa.int32())],
-                    ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rest", "times"],
-                )
+                    [*(batch.column(j).slice(chunk.first, n) for j in range(4)), pa.array((chunk.counts + 1).astype(np.int64)), pa.array(n_known), pa.array(base), pa.array(within),
+                     pa.array([raw[chunk.word_at[i] : chunk.word_at[i + 1]].tobytes() for i in range(n)], pa.binary()), lists(h[order[first]], pa.int64()), lists(times, pa.int32())],
+                    ["uid", "doc_id", "held_out", "key", "n_tokens", "n_known", "base", "within", "ids", "rest", "times"],
+                )
 
     return run
 
 
-def score(documents: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = documents.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+ENCODED = "uid long, doc_id long, held_out boolean, key long, n_tokens long, n_known long, base double, within double, ids binary, rest array<long>, times array<int>"
+
+
+def _score(parameters):
+    name = hash(tuple(p.tobytes() for p in parameters))
+
+    def run(batches):
+        if name not in _tables:
+            _tables.clear()
+            _tables[name] = log_tables(parameters)
+        for batch in batches:
+            if not len(batch):
+                continue
+            doc, one, two, token = _tokens(batch, 7)
+            score = np.bincount(doc, log_probabilities(_tables[name], one, two, token), len(batch)) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*(batch.column(j) for j in range(6)), pa.array(score + batch.column(6).to_numpy())], ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+
+    return run
+
+
+class Model(NamedTuple):
+    """vocabulary: the head; parameters: of the bilinear model; shared_log: log10 of the
+    mass of each shared id; counts: of all words; least: of the head's rarest; tokens:
+    of all training documents."""
+
+    vocabulary: Vocabulary
+    parameters: list
+    shared_log: np.ndarray
+    counts: DataFrame
+    least: int
+    tokens: int
+
+
+def fit(documents: DataFrame, scratch: Scratch, text: str = "text") -> tuple[Model, DataFrame]:
+    """(the model, the encoded documents)."""
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10
-    docs = documents.select(F.monotonically_increasing_id().alias("uid"), "doc_id", (crc == 0).alias("held_out"), F.col(text).alias("text"))
-    training = docs.filter("not held_out")
-    counts = training.select("text").mapInArrow(_count, "h long, c long, b int").groupBy("h").agg(F.sum("c").alias("c"), F.min("b").alias("b"))
+    docs = documents.select(F.monotonically_increasing_id().alias("uid"), "doc_id", (crc == 0).alias("held_out"), F.xxhash64("doc_id", text).alias("key"), F.col(text).alias("text"))
+    counts = docs.filter("not held_out").select("text").mapInArrow(_count, "h long, c long, b int").groupBy("h").agg(F.sum("c").alias("c"), F.min("b").alias("b"))
     counts = scratch.cut(counts, "counts")
     tokens, distinct = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).first())
     # The head: as many of the most frequent words as fit, in whole steps of frequency.
@@ -236,25 +290,34 @@ def score(documents: DataFrame, scratch: Scratch, text: str = "text") -> DataFra
     unigram = np.concatenate([own_mass, mass]) + 0.5
     unigram /= unigram.sum()
     shared_log = np.log10(mass + 0.1 * (kinds + 1))
+    total = float(np.log10(tokens + 0.1 * (distinct + 1)))
+    encoded = scratch.cut(docs.mapInArrow(_encode(vocabulary, total, shared_log), ENCODED), "encoded")
     parameters = start_parameters(unigram)
     shapes = [p.shape for p in parameters]
+    shards = max(1, -(-tokens // (ROUNDS * SHARD_TOKENS)))
+    dealt = encoded.filter("not held_out").groupBy("key").agg(F.first("ids").alias("ids"))
+    dealt = dealt.select(F.pmod("key", F.lit(ROUNDS)).alias("round"), F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "ids")
     for k in range(ROUNDS):
-        part = training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == k).select("text")
-        sums = part.mapInArrow(_train(vocabulary, parameters, unigram), "k int, x long").groupBy("k").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).orderBy("k").toPandas()
+        part = dealt.filter(F.col("round") == k).repartition("shard").sortWithinPartitions("shard", "key").select("shard", "ids")
+        sums = part.mapInArrow(_train(parameters, unigram, k), "k int, x long").groupBy("k").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).orderBy("k").toPandas()
         if len(sums):
             x = np.array([int(v) for v in sums["x"]], dtype=object)
             flat = (x[:-1] / int(x[-1]) / SCALE).astype(np.float32)
             parameters = [p.reshape(s) for p, s in zip(np.split(flat, np.cumsum([int(np.prod(s)) for s in shapes])[:-1]), shapes, strict=True)]
-    total = float(np.log10(tokens + 0.1 * (distinct + 1)))
-    made = docs.mapInArrow(_score(vocabulary, parameters, total, shared_log), "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rest array<long>, times array<int>")
-    made = scratch.cut(made, "scored")
-    rest = made.select("uid", F.explode(F.arrays_zip("rest", "times")).alias("r")).select("uid", F.col("r.rest").alias("h"), F.col("r.times").alias("n"))
-    found = rest.join(counts.filter(F.col("c") < least).select("h", "c"), "h", "left").select("uid", "n", F.coalesce("c", F.lit(0)).alias("c"))
+    return Model(vocabulary, parameters, shared_log, counts, least, tokens), encoded
+
+
+def score(documents: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    model, encoded = fit(documents, scratch, text)
+    made = encoded.select("uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "within", "ids").mapInArrow(_score(model.parameters), "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
+    rest = encoded.select("uid", F.explode(F.arrays_zip("rest", "times")).alias("r")).select("uid", F.col("r.rest").alias("h"), F.col("r.times").alias("n"))
+    found = rest.join(model.counts.filter(F.col("c") < model.least).select("h", "c"), "h", "left").select("uid", "n", F.coalesce("c", F.lit(0)).alias("c"))
     rest = found.groupBy("uid").agg(F.sum(F.col("n") * F.log10(F.col("c") + 0.1)).alias("x"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("k"))
-    out = made.drop("rest", "times").join(rest, "uid", "left")
+    out = made.join(rest, "uid", "left")
     x = F.coalesce("x", F.lit(0.0))
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + x).alias("base_score"), (F.col("score") + x).alias("score"),
     )
 

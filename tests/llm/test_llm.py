@@ -131,14 +131,6 @@ def test_lm_scores(spark, docs, empty):
     assert lm.score(empty, Scratch(spark, "t")).count() == 0
 
 
-def test_lm_is_normalised():
-    unigram = np.full(lm.OUTPUTS, 1 / lm.OUTPUTS)
-    parameters = lm.start_parameters(unigram)
-    every = np.arange(lm.OUTPUTS, dtype=np.int32)
-    p = lm.log_probabilities(parameters, np.full(lm.OUTPUTS, 3, np.int32), np.full(lm.OUTPUTS, 5, np.int32), every)
-    assert math.isclose(np.exp(p).sum(), 1, rel_tol=1e-4)
-
-
 def test_chat_round_trip(spark):
     rng = random.Random(2)
     bits = ["</s>", "<s>", "[INST]", "[/INST]", "\\", "<|", "|>", "<<SYS>>", "<</SYS>>\n", " x ", "<|end|>", "|", "é", chat.MARK]
