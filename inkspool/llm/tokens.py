@@ -119,7 +119,6 @@ def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY, pattern: st
     """doc_id, section, n_chars, n_tokens, n_crossing (tokens of it that reach into another section)."""
     with open(vocabulary, "rb") as file:
         raw = file.read()
-    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     return documents.select("doc_id", F.col(text).alias("text")).mapInArrow(_attribute(raw, pattern), "doc_id long, section string, n_chars long, n_tokens long, n_crossing long")
 
 
