@@ -3,8 +3,9 @@
 Three patterns give the base spans. A conditional random field then tags the
 words of every text as outside, begin or inside of a secret, from the word's
 shape, the words before it and features of the whole text, and adds the parts of
-the spans it finds that no base span covers. It is trained here, in numpy, on sentences that
-``training_sentences`` writes (a bounded, seeded sample with labels).
+the spans it finds that no base span covers. It is trained here, in numpy, on lines
+that ``training_sentences`` writes (a bounded, seeded sample with labels): prose,
+settings, code and logs with secrets, and with what looks like them and is none.
 
 Decoding is exact Viterbi, but only where it can matter: a word whose score for
 "outside" leads by more than all that transitions could give back is outside on
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspool.llm.words import Chunk, chunks, code_points
+from inkspool.llm.words import Chunk, chunks, code_points, trimmed
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -33,8 +34,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Words that announce a secret (fixed list).
 CUES = "password passwd pwd pass secret token key apikey api_key api-key bearer credential credentials auth authorization passphrase access_key secret_key private_key".split()
+#: What issued secrets begin with (fixed list of published prefixes).
+PREFIXES = (b"sk-", b"sk_", b"pk_", b"rk_", b"ghp_", b"gho_", b"ghs_", b"github_pat_", b"glpat-", b"xoxb-", b"xoxp-", b"AIza", b"eyJ", b"ya29.", b"npm_", b"hf_", b"SG.", b"dop_v1_")
 #: A secret that the model finds has so many characters at least.
-SHORTEST = 10
+SHORTEST = 8
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -64,20 +67,21 @@ DIGIT, UPPER, LOWER = _class([(48, 57)]), _class([(65, 90)]), _class([(97, 122)]
 HEXES = _class([(48, 57), (97, 102)])
 MARK = ~(DIGIT | UPPER | LOWER) & _class([(33, 126)])
 TRIM = _class([(ord(c), ord(c)) for c in "\"'`,;.!?()[]{}<>#$%&*|"])
-FEATURES = 41
+VOWEL = _class([(ord(c), ord(c)) for c in "aeiouyAEIOUY"])
+CODE = _class([(ord(c), ord(c)) for c in "={}();_/<>\\$"])
+FEATURES = 76
 
 
 def features(chunk: Chunk, cues: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature ids of every word: one row per word, core start, core end). Ids 0 mean nothing."""
-    data, start, end = chunk.data, chunk.start.copy(), chunk.end.copy()
-    n = len(start)
-    for _ in range(6):
-        start += TRIM[data[start]] & (end - start > 1)
-        end -= TRIM[data[end - 1]] & (end - start > 1)
+    data = chunk.data
+    n = len(chunk.start)
+    start, end = trimmed(data, chunk.start, chunk.end, TRIM)
     total = lambda table: np.concatenate([[0], np.cumsum(table[data], dtype=np.int32)])
-    counts = {k: (c := total(t))[end] - c[start] for k, t in (("d", DIGIT), ("u", UPPER), ("l", LOWER), ("x", HEXES), ("m", MARK))}
+    counts = {k: (c := total(t))[end] - c[start] for k, t in (("d", DIGIT), ("u", UPPER), ("l", LOWER), ("x", HEXES), ("m", MARK), ("v", VOWEL), ("c", CODE))}
     size = end - start
-    other = size - counts["d"] - counts["u"] - counts["l"] - counts["m"]
+    letters = counts["u"] + counts["l"]
+    other = size - counts["d"] - letters - counts["m"]
     kinds = (counts["d"] > 0).astype(np.int64) + (counts["u"] > 0) + (counts["l"] > 0)
     group = np.where(DIGIT, 1, np.where(UPPER, 2, np.where(LOWER, 3, 4)))[data]
     turns = np.zeros(len(data) + 1, np.int32)
@@ -90,23 +94,45 @@ def features(chunk: Chunk, cues: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     lone = sign & (chunk.end - chunk.start == 1)
     doc = chunk.doc
     back = lambda x, k: np.where(np.concatenate([np.full(k, -1), doc[:-k]])[:n] == doc, np.concatenate([np.zeros(k, x.dtype), x[:-k]])[:n], 0) if n > k else np.zeros(n, x.dtype)
-    cued = back(cue, 1) | (back(lone, 1) & back(cue, 2)) | (back(cue, 2) & ~back(lone, 1))
+    near = back(cue, 1) | (back(lone, 1) & back(cue, 2))
+    by = (back(cue, 2) & ~back(lone, 1)) | back(cue, 3)
+    after = np.zeros(n, bool)  # a cue comes one to three words behind: "use ... as the token"
+    for k in (1, 2, 3):
+        after[:-k] |= cue[k:] & (doc[k:] == doc[:-k])
     signed = back(sign, 1)
-    share = np.zeros(len(chunk))
+    at = np.minimum(start[:, None] + np.arange(max(map(len, PREFIXES))), max(len(data) - 1, 0)) if n else np.zeros((0, 1), np.int64)
+    prefixed = np.zeros(n, bool)
+    for x in PREFIXES:
+        prefixed |= (size > len(x) + 8) & (data[at[:, : len(x)]] == np.frombuffer(x, np.uint8)).all(1) if n else False
+    share, code, cued = np.zeros(len(chunk)), np.zeros(len(chunk)), np.zeros(len(chunk), bool)
     if n:
-        has = chunk.counts > 0
-        share[has] = np.add.reduceat((counts["d"] > 0).astype(np.int64), chunk.word_at[:-1][has]) / chunk.counts[has]
-    f = np.zeros((n, 10), np.int64)
+        has, first = chunk.counts > 0, chunk.word_at[:-1][chunk.counts > 0]
+        share[has] = np.add.reduceat((counts["d"] > 0).astype(np.int64), first) / chunk.counts[has]
+        code[has] = np.add.reduceat((counts["c"] > 0).astype(np.int64), first) / chunk.counts[has]
+        cued[has] = np.add.reduceat(cue.astype(np.int64), first) > 0
+    f = np.zeros((n, 15), np.int64)
     f[:, 0] = 1 + np.minimum(size // 4, 9)  # 1-10: length
     f[:, 1] = 11 + np.minimum(kinds, 3)  # 11-14: kinds of letters and digits
     f[:, 2] = 15 + np.minimum(turns // 2, 5)  # 15-20: turns between kinds
     f[:, 3] = np.where(counts["m"] == 0, 21, np.where(counts["m"] * 4 <= size, 22, 23))
     f[:, 4] = np.where(counts["d"] == size, 24, np.where(counts["d"] * 3 >= size, 25, np.where(counts["d"] > 0, 26, 27)))
-    f[:, 5] = np.where(cued, 28, 29)
-    f[:, 6] = np.where(signed, 30, 31)
-    f[:, 7] = np.where((size >= 16) & (counts["x"] == size), 32, np.where(other > 0, 33, 34))
-    f[:, 8] = np.where(np.isin(data[start], (43, 40)), 35, 36) + np.where((cued | signed) & (kinds >= 2) & (size >= 8), 2, 0)  # to 38
-    f[:, 9] = np.where(share[doc] > 0.2, 39, 40)  # of the text: many words with digits
+    f[:, 5] = np.where(near, 28, np.where(by, 29, np.where(after, 30, 31)))
+    f[:, 6] = np.where(signed, 32, 33)
+    f[:, 7] = np.where((size >= 16) & (counts["x"] == size), 34, np.where(other > 0, 35, 36))
+    f[:, 8] = np.where(np.isin(data[start], (43, 40)), 37, 38) + np.where((near | by | signed) & (kinds >= 2) & (size >= 8), 2, 0)  # to 40
+    f[:, 9] = np.where(prefixed, 41, 42)
+    begins = DIGIT[data] & np.concatenate([[True], ~DIGIT[data[:-1]]])
+    runs = (c := np.concatenate([[0], np.cumsum(begins, dtype=np.int32)]))[end] - c[start]
+    f[:, 10] = 43 + np.where(letters < 6, 0, np.where(counts["v"] * 4 < letters, 1, np.where(counts["v"] * 3 < letters, 2, 3))) + 4 * np.minimum(runs, 2)  # 43-54: vowels among the letters, runs of digits
+    f[:, 11] = 55 + np.where(near | by, 1, 0) + np.where((size >= 8) & (counts["d"] > 0) & (letters > 0), 2, 0) + np.where(counts["c"] > 0, 4, 0)  # to 62
+    f[:, 12] = np.where(share[doc] > 0.2, 63, 64) + np.where(cued[doc], 2, 0)  # of the text, to 66: many words with digits; a cue somewhere
+    f[:, 13] = np.where(code[doc] > 0.4, 67, np.where(code[doc] > 0.1, 68, 69))  # of the text: code, settings or prose
+    slashes = np.zeros(len(data) + 1, np.int32)
+    slashes[2:] = np.cumsum((data[1:] == 47) & (data[:-1] == 47), dtype=np.int32)
+    has = lambda marks: (c := total(_class([(ord(x), ord(x)) for x in marks])))[end] > c[start]
+    link = slashes[end] > slashes[np.minimum(start + 1, end)]
+    mail = has("@") & has(".") & ~has("!#$%&*?=/:;,+~^")
+    f[:, 14] = np.where(link, 70, np.where(mail, 71, np.where(has("@"), 72, np.where(has("()[]{}"), 73, np.where(has("/"), 74, 75)))))  # addresses, calls and paths
     return f, start, end
 
 
@@ -116,56 +142,80 @@ def cue_hashes() -> np.ndarray:
     return Chunk(np.frombuffer(data, np.uint8), np.array([0, len(data)]), 0).hashes()
 
 
-def training_sentences(seed: int = 5, many: int = 800) -> list[tuple[list[str], list[int]]]:
-    """Labelled sentences: words, and 1 (begin) or 2 (inside) for secrets, else 0."""
+#: Lines with a secret {s}, beside a cue {c}, words {w}, numbers {n}, dates {d}.
+HOLDING = """the {c} is {s}|{c}: {s}|{c} = {s}|{c} {s}|my new {c} is {s} please do not share it|use {s} as the {c} for now
+Authorization: Bearer {s}|curl -H "Authorization: Bearer {s}" https://{w}.example.com/{w}|login with {w} and {c} {s}|log in as {w} / {s}
+we had to rotate {i} on {d} after it leaked|{i} was found in the repository|headers = {{ "X-Api": {i} }}|client = {w}.Client({i})|set {w} to {i} in the console
+{c} => {s},|<{c}> {s} </{c}>|"{c}" : {s},|{d} INFO {w} started with {c} {s}|-u {w} -p {s}|{w} {w} {w} the {c} was changed to {s} by {w}
+the old {c} {s} no longer works so ask {w}|--{c} {s} --{w} {n}|your one time {c} for {w} is {s}|ssh {w}@{w}.example.com with {c} {s}|send {i} to {w} and {w}
+const {w} = {i};|{w} = os.environ.get("{w}", {i})|here it is: {i}|{c}={s} {w}={n}""".replace("\n", "|").split("|")
+#: Lines without one; {l} looks like a secret and is none.
+CLEAN = """the {c} is {w}|forgot my {c} again|a {c} must have at least {n} characters|{w} {w} {l} {w}|order {l} shipped on {d}|see {l} for more
+commit {l} fixes {n}|version {n}.{n}.{n} of {w}|function {l} returns {w}|file {l} not found|meet {w} at {n}:{n} on {d}|{w} said that {w} and {w} went to {w}
+def {l}({w}, {w}): return {w}|import {w} from "{w}"|{d} INFO {w} took {n} ms|{d} ERROR {l} at line {n}|the {c} was reset|reset your {c} on https://{w}.example.com/{w}
+the key to {w} is {w}|{w} {w} {w} {w} {w} {w} {w}|no {c} is needed for {w}|part {l} costs {n} {w}|call {l} or write to {w}@{w}.example.com|{w}, {w} and {w}. {w} {w}
+secret {w} of the {w} garden|token {w} of {w} love|pass the {w} to {w}|{w}: {n}|{w} = {n}|{w} = "{w}"|<a href="https://{w}.example.org/{w}/{n}">{w}</a>|size = {l}|id = {l}
+{c} = get_{c}()|{c}: string|self.{c} = {c}|if not {c}: raise {l}|{w} {l} {l} {w}|room {n}, floor {n}|GET {l} took {n} ms|{w} {l} at {l}|copy {l} to {l}|class {l} {w}|let {l} = {n};|{w} -{w} {l} {l}|{w}%%% {w}### {w}*** {w}&&&|{w}!! {w} | {w} | {w}""".replace("\n", "|").split("|")
+
+
+def training_sentences(seed: int = 5, many: int = 2400) -> list[tuple[list[str], list[int]]]:
+    """Labelled lines: words, and 1 (begin) or 2 (inside) for secrets, else 0."""
     rng = np.random.default_rng(seed)
     low, high, nums = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
     pick = lambda alphabet, a, b: "".join(alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(a, b + 1)))
+    one = lambda of: of[rng.integers(0, len(of))]
+    syllable = lambda: pick("bcdfghklmnprstvwz", 1, 2) + one("aeiou") + pick("lmnrst", 0, 1)
 
     def word():
-        w = pick(low, 1, 14)
-        r = rng.random()
-        return w.title() if r < 0.1 else w.upper() + "!!" if r < 0.14 else w + str(rng.choice(["%%%", "###", "$$$", "&&&", "***"])) if r < 0.18 else w + "." if r < 0.25 else w + "," if r < 0.3 else w
-
-    def plain():
-        return [
-            lambda: pick(nums, 1, 4), lambda: pick(nums, 16, 16), lambda: ".".join(pick(nums, 1, 3) for _ in range(4)), lambda: f"{pick(low, 3, 8)}.{pick(nums, 2, 2)}@{pick(low, 4, 7)}{pick(nums, 0, 2)}.example.com",
-            lambda: "+" + pick(nums, 1, 2), lambda: f"({pick(nums, 3, 3)})", lambda: f"{pick(nums, 3, 3)}-{pick(nums, 4, 4)}", lambda: f"{pick(nums, 1, 2)}.{pick(nums, 1, 2)}.", lambda: f"https://{pick(low, 4, 9)}.example.org/{pick(low, 2, 9)}/{pick(nums, 1, 5)}",
-            lambda: f"20{pick(nums, 2, 2)}-0{pick('123456789', 1, 1)}-1{pick(nums, 1, 1)}", lambda: f"{pick(low, 3, 8)}-{pick(low, 3, 8)}", lambda: f"{pick(low, 3, 9)}_{pick(low, 3, 9)}()", lambda: f"${pick(nums, 2, 4)}.{pick(nums, 2, 2)}", lambda: pick(low, 20, 45), lambda: pick(high, 3, 6) + pick(nums, 1, 3),
-        ][rng.integers(0, 15)]()
-
-    def secret():
+        w = "".join(syllable() for _ in range(rng.integers(1, 5))) if rng.random() < 0.8 else pick(low, 1, 14)
+        return w.title() if rng.random() < 0.12 else w
+
+    def alike():  # what looks like a secret
+        name = lambda k: "".join(word().title() for _ in range(k))
+        return one([
+            lambda: pick(nums, 5, 16), lambda: ".".join(pick(nums, 1, 3) for _ in range(4)), lambda: f"{pick(low, 3, 8)}.{pick(nums, 2, 2)}@{word()}{pick(nums, 0, 2)}.example.com", lambda: f"+{pick(nums, 1, 2)}-{pick(nums, 3, 3)}-{pick(nums, 4, 7)}",
+            lambda: f"https://{word()}.example.org/{word()}/{pick(nums, 1, 5)}?{word()}={pick(nums, 1, 4)}", lambda: "-".join(pick("0123456789abcdef", k, k) for k in (8, 4, 4, 4, 12)), lambda: f"/{word()}/{word()}/{word()}.{pick(low, 2, 3)}",
+            lambda: f"{word()}{name(2)}{pick(nums, 0, 2)}", lambda: f"{word()}_{word()}_{word()}", lambda: f"{pick(high, 2, 4)}-{pick(nums, 3, 6)}-{pick(high, 0, 2)}", lambda: f"${pick(nums, 2, 4)}.{pick(nums, 2, 2)}", lambda: pick("0123456789abcdef", 7, 8),
+            lambda: pick(high, 3, 6) + pick(nums, 1, 4), lambda: f"{name(2)}Error", lambda: f"20{pick(nums, 2, 2)}-0{pick('123456789', 1, 1)}-1{pick(nums, 1, 1)}T{pick('01', 1, 1)}{pick(nums, 1, 1)}:{pick('012345', 1, 1)}{pick(nums, 1, 1)}:00Z", lambda: pick(low, 15, 40),
+            lambda: f"{word()}-{word()}-{word()}", lambda: f"v{pick(nums, 1, 2)}.{pick(nums, 1, 2)}.{pick(nums, 1, 2)}-{word()}", lambda: f"{pick(nums, 3, 4)}x{pick(nums, 3, 4)}", lambda: f"{word()}{pick(nums, 2, 4)}", lambda: name(3), lambda: f"{word()}.{word()}({word()})",
+            lambda: "".join(f"/{word()}{pick(nums, 0, 3)}" for _ in range(rng.integers(2, 6))) + one(["", "." + pick(low, 2, 3), f"?{word()}={pick(nums, 1, 3)}&{word()}={pick(nums, 1, 3)}"]), lambda: f"{word()}@{word()}{pick(nums, 0, 2)}.example.com:/{word()}/{word()}{pick(nums, 0, 2)}",
+            lambda: f"/{word()}/v{pick(nums, 1, 1)}/{word()}/{pick(nums, 3, 6)}/{word()}", lambda: f"/{word()}/{word()}/{word()}{pick(nums, 1, 1)}.{pick(nums, 1, 2)}/{word()}-{word()}/{word()}.{pick(low, 2, 3)}",
+            lambda: f"{word()}{name(rng.integers(1, 3))}{pick(nums, 1, 1)}({word()}{name(1)})", lambda: f"{word()}{name(rng.integers(1, 3))}{pick(nums, 1, 2)}", lambda: f"{name(3)}{pick(nums, 1, 1)}({name(2)}):", lambda: f"{pick(high, 2, 4)}_20{pick(nums, 6, 6)}_{pick(nums, 4, 6)}.{pick(low, 3, 3)}",
+        ])()
+
+    def issued():  # a secret that shows by itself
         mixed = low + high + nums
-        r = rng.integers(0, 5)
-        core = [lambda: pick(mixed, 20, 44), lambda: "sk-" + pick(mixed, 24, 48), lambda: pick(mixed, 12, 20), lambda: pick(mixed + "+/", 32, 64) + "==", lambda: "ghp_" + pick(mixed, 30, 40)][r]()
-        if len({c.isdigit() for c in core}) < 2:
-            core += pick(nums, 2, 3)
-        return f'"{core}"' if rng.random() < 0.4 else core
+        core = one([lambda: pick(mixed, 20, 44), lambda: one(["sk-", "sk_live_", "ghp_", "xoxb-", "glpat-", "AIza", "hf_"]) + pick(mixed + "_-", 20, 44), lambda: pick(mixed + "+/", 30, 64) + one(["", "=", "=="]), lambda: "eyJ" + ".".join(pick(mixed + "_-", 20, 40) for _ in range(3))])()
+        return core if sum(c.isdigit() for c in core) > 1 else core + pick(nums, 2, 3)
+
+    def chosen():  # a secret that shows by its place
+        signs = lambda: pick("!@#$%&*?", 1, 2)
+        return one([lambda: word().title() + pick(nums, 2, 4) + signs(), lambda: word() + signs() + word().title() + pick(nums, 1, 3), lambda: pick(low + high + nums, 10, 18) + pick(nums, 1, 2), lambda: "-".join(word() for _ in range(3)) + "-" + pick(nums, 2, 3), lambda: word().replace("o", "0").replace("a", "4").replace("e", "3") + signs() + word() + pick(nums, 1, 2)])()
+
+    def quoted(x):
+        return one(['"{}"', "'{}'", "{}", "{}", "{}", "{}.", "{},"]).format(x)
 
     out = []
     for _ in range(many):
         words, tags = [], []
-        for _ in range(rng.integers(5, 30)):
-            r = rng.random()
-            if r < 0.06:
-                cue = [[str(rng.choice(CUES)), str(rng.choice(["=", ":", "is"]))], [str(rng.choice(CUES)) + ":"], []][rng.integers(0, 3)]
-                words += [*cue, secret()]
-                tags += [0] * len(cue) + [1]
-                if rng.random() < 0.1:
-                    words.append(secret())
+        for line in range(rng.integers(1, 4)):
+            for part in str(one(HOLDING if rng.random() < 0.5 else CLEAN)).split():
+                kind = next((k for k in "si" if "{" + k + "}" in part), None)
+                secret = quoted(issued() if kind == "i" or rng.random() < 0.5 else chosen()) if kind else ""
+                for k, make in (("s", lambda: secret), ("i", lambda: secret), ("c", lambda: str(one(CUES))), ("w", word), ("n", lambda: pick(nums, 1, 4)), ("l", alike), ("d", lambda: f"20{pick(nums, 2, 2)}-0{pick('123456789', 1, 1)}-1{pick(nums, 1, 1)}")):
+                    while "{" + k + "}" in part:
+                        part = part.replace("{" + k + "}", make(), 1)
+                words.append(part.replace("{{", "{").replace("}}", "}"))
+                tags.append(1 if kind else 0)
+                if kind == "s" and rng.random() < 0.04:  # a secret of two words
+                    words.append(issued())
                     tags.append(2)
-            elif r < 0.08:  # a cue without a secret
-                words += [str(rng.choice(CUES)), word()]
-                tags += [0, 0]
-            else:
-                words.append(plain() if r < 0.2 else word())
-                tags.append(0)
         out.append((words, tags))
     return out
 
 
 @lru_cache(1)
-def train(rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+def train(rounds: int = 80) -> tuple[np.ndarray, np.ndarray]:
     """(feature weights, transition weights) by gradient steps on the conditional likelihood."""
     sentences = training_sentences()
     data = [" ".join(w).encode() for w, _ in sentences]
@@ -310,7 +360,6 @@ def _scan(weights, steps, cues):
 
 def scan(documents: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
-    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     weights, steps = train()
     return documents.select("doc_id", F.col(text).alias("text")).mapInArrow(_scan(weights, steps, cue_hashes()), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
@@ -338,7 +387,6 @@ def _redact(weights, steps, cues, columns, at, mark):
 def redact(documents: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All documents, with every span found in them replaced; n_chars, if there, follows the text."""
     weights, steps = train()
-    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     out = documents.mapInArrow(_redact(weights, steps, cue_hashes(), documents.columns, documents.columns.index(text), mark), documents.schema)
     return out.withColumn("n_chars", F.length(text).cast(dict(documents.dtypes)["n_chars"])) if "n_chars" in documents.columns else out
 
