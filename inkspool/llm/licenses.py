@@ -1,16 +1,21 @@
 """Operator 2: license scans by a trained paragraph classifier.
 
-Paragraphs (lines) are scored by multinomial logistic regression over sparse
-word n-grams of one to three words; the classes are licence families and
-"unknown", whose probability is calibrated by a temperature fitted on held-out
-paragraphs. A prediction is confirmed by comparing the paragraph with the
-family's templates. The model is trained here, in numpy, on TRAINING paragraphs
-written from the templates and on ordinary ones (seeded; the bound is a
-parameter). Scoring uses column expressions and joins only.
+A paragraph ends at a blank line, or where a line ends a sentence; so wrapped lines
+are one. Paragraphs are scored by multinomial logistic regression over sparse word
+n-grams of one to three words; the classes are licence families and "unknown". A
+prediction is confirmed by comparing the paragraph with the family's templates.
+
+The model is trained here, in numpy, on TRAINING paragraphs written from the
+templates and on ordinary ones (seeded), and on up to SAMPLE paragraphs of at most
+SAMPLE_WORDS words of the documents themselves (chosen by a hash; both bounds are
+parameters): those that hold most of a template are of its family, those that hold
+next to nothing of any are unknown. Temperature and offset of "unknown" are fitted
+on every fifth paragraph, which the weights have not seen. Scoring uses column
+expressions and joins only.
 
 All n-grams that are frequent in training are features. Only paragraphs with one
-of ``telling`` words are scored: all n-grams without such a word, taken together,
-cannot lift any family over "unknown", so the others are "unknown" for certain.
+of the ``telling`` n-grams are scored: all others, taken together, cannot lift any
+family over "unknown", so the other paragraphs are "unknown" for certain.
 
 Cases: null and empty texts have no paragraphs; repeated rows give their
 paragraphs again; an empty table gives no rows. Extra columns are ignored.
@@ -18,8 +23,10 @@ paragraphs again; an empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache, reduce
 from operator import or_
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,9 +45,11 @@ TEMPLATES = {
 #: Words of licences that ordinary training paragraphs also get, out of their place.
 ANCHORS = ("license", "licensed", "licence", "licenced", "copyright", "gnu", "apache", "mit", "bsd", "mozilla", "mpl", "creative", "commons", "gpl", "permission", "permitted", "redistribution", "redistribute", "reserved", "cc", "by", "sa", "nc")
 CLASSES = ("unknown", *TEMPLATES)
-TRAINING = 1_600
+TRAINING, SAMPLE, SAMPLE_WORDS = 1_600, 1_000, 200
+#: What parts paragraphs.
+BREAK = r"""(?<=[.!?:;]["')\]]{0,1})[ \t\r]*\n\s*|\n[ \t\r]*\n\s*"""
 #: Pull of every weight to zero, so that words that tell nothing get none.
-SPARSE = 5e-4
+SPARSE = 7e-4
 WORDS = r"[^a-z0-9.]+"
 ORDINARY = "the a of and to in is that it was for on with as by at from this have not we you they are be or an will can all one has more if about which when out up so time people work use may free any part person source form public version general terms driver holders concert school shop renew fishing application number office issue date fee state city".split()
 
@@ -74,10 +83,39 @@ def training_paragraphs(many: int = TRAINING, seed: int = 2) -> list[tuple[list[
     return out
 
 
-@lru_cache(1)
-def train(rounds: int = 400) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-    """(weights of each n-gram, intercepts, temperature). Every fifth paragraph is held out for the temperature."""
-    data = training_paragraphs()
+def words_of(paragraph: str) -> list[str]:
+    return [w for w in (x.strip(".") for x in re.split(WORDS, paragraph.lower())) if w]
+
+
+def template_shares(words: list[str]) -> dict[str, float]:
+    """For each family, the largest share of a template's word pairs that the paragraph has."""
+    own = set(zip(words, words[1:], strict=False))
+    return {family: max(len(own & (its := set(zip(t.split(), t.split()[1:], strict=False)))) / len(its) for t in texts) for family, texts in TEMPLATES.items()}
+
+
+def labelled(paragraphs: list[str]) -> list[tuple[list[str], int]]:
+    """Paragraphs of documents that the templates tell the class of."""
+    out = []
+    for words in map(words_of, paragraphs):
+        shares = template_shares(words)
+        best = max(shares, key=lambda f: shares[f])
+        if shares[best] >= 0.8 or shares[best] <= 0.2:
+            out.append((words, CLASSES.index(best) if shares[best] >= 0.8 else 0))
+    return out
+
+
+class Model(NamedTuple):
+    """weights of each n-gram and intercepts, by class; temperature and offset of "unknown"."""
+
+    weights: dict[str, np.ndarray]
+    intercepts: np.ndarray
+    temperature: float
+
+
+@lru_cache(4)
+def train(paragraphs: tuple[str, ...] = (), rounds: int = 400) -> Model:
+    """The model of the written paragraphs and of those of documents."""
+    data = training_paragraphs() + labelled(list(paragraphs))
     fit = [x for k, x in enumerate(data) if k % 5]
     held = [x for k, x in enumerate(data) if not k % 5]
     times: dict[str, int] = {}
@@ -89,68 +127,79 @@ def train(rounds: int = 400) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
     def matrix(rows):
         x = np.zeros((len(rows), len(vocabulary)))
         for i, (words, _) in enumerate(rows):
-            for g in set(grams(words)):
-                if g in vocabulary:
-                    x[i, vocabulary[g]] = 1
+            x[i, [vocabulary[g] for g in set(grams(words)) if g in vocabulary]] = 1
         return x, np.array([y for _, y in rows])
 
     x, y = matrix(fit)
     hot = np.eye(len(CLASSES))[y]
     w, b = np.zeros((x.shape[1], len(CLASSES))), np.zeros(len(CLASSES))
-    b[0] = 2.0  # nothing known about a paragraph: unknown
     for _ in range(rounds):
         z = x @ w + b
         p = np.exp(z - z.max(1, keepdims=True))
         g = hot - p / p.sum(1, keepdims=True)
         w += 2.0 * (x.T @ g / len(x) - 2e-4 * w)
         w = np.sign(w) * np.maximum(np.abs(w) - 2.0 * SPARSE, 0)
-        b[1:] += 0.5 * g.mean(0)[1:]
+        b += 0.5 * g.mean(0)
     hx, hy = matrix(held)
     z = hx @ w + b
 
-    def loss(t):
-        s = z / t
+    def loss(t, offset):
+        s = (z + offset * np.eye(len(CLASSES))[0]) / t
         return -(s[np.arange(len(hy)), hy] - np.log(np.exp(s - s.max(1, keepdims=True)).sum(1)) - s.max(1)).mean()
 
-    temperature = float(min(np.linspace(0.2, 4, 77), key=loss))
-    return {g: w[k] for g, k in vocabulary.items() if w[k].any()}, b, temperature
+    temperature, offset = min(((t, o) for t in np.linspace(0.2, 4, 39) for o in np.linspace(-2, 2, 17)), key=lambda v: loss(*v))
+    b[0] += offset
+    return Model({g: w[k] for g, k in vocabulary.items() if w[k].any()}, b, float(temperature))
+
+
+def sample(documents: DataFrame, text: str = "text") -> tuple[str, ...]:
+    """Up to SAMPLE paragraphs of at most SAMPLE_WORDS words, of documents chosen by a hash."""
+    some = documents.filter(F.length(text) > 0)
+    every = max(1, some.count() // SAMPLE)
+    rows = some.filter(F.pmod(F.xxhash64("doc_id", text), F.lit(every)) == 0).select(F.explode(F.split(F.col(text), BREAK)).alias("p")).filter(F.size(F.split("p", r"\s+")) <= SAMPLE_WORDS)
+    return tuple(r.p for r in rows.distinct().orderBy(F.xxhash64("p"), "p").limit(SAMPLE).collect())
 
 
 def telling(weights: dict[str, np.ndarray], intercepts: np.ndarray) -> list[str]:
-    """Words without which a paragraph is "unknown" whatever else it holds, the strongest of the rarer ones first."""
-    left = {g: np.maximum(w[1:] - w[0], 0) for g, w in weights.items()}
+    """N-grams without which a paragraph is "unknown" whatever else it holds: all others together do not reach a family.
+
+    Left out are as many of the weak ones as possible, those of common words first,
+    and those that hold another telling one.
+    """
+    margins = {g: np.maximum(w[1:] - w[0], 0) for g, w in weights.items()}
     lead = intercepts[0] - intercepts[1:]
-    out: list[str] = []
-    while (over := sum(left.values(), np.zeros(len(lead))) - lead).max() >= -1e-6:  # a feature counts once in a paragraph
-        gain: dict[str, float] = {}
-        for g, w in left.items():
-            for x in set(g.split()):
-                gain[x] = gain.get(x, 0.0) + float(w[over >= -1e-6].sum())
-        word = max(gain, key=lambda x: (x not in ORDINARY and gain[x] > 0, gain[x], x))
-        out.append(word)
-        left = {g: w for g, w in left.items() if word not in g.split()}
-    return out
+    if lead.min() <= 0:
+        raise ValueError("a paragraph that nothing is known about must be unknown")
+    common = lambda g: all(x in ORDINARY for x in g.split())
+    left, out = np.zeros(len(lead)), []
+    for g in sorted(margins, key=lambda g: (not common(g), margins[g].max(), g)):
+        if (left + margins[g] < lead - 1e-6).all():  # a feature counts once in a paragraph
+            left = left + margins[g]
+        else:
+            out.append(g)
+    return [g for g in out if not any(f" {x} " in f" {g} " for x in out if x != g)]
 
 
 def scan(documents: DataFrame, threshold: float = 0.5, overlap: float = 0.6, text: str = "text") -> DataFrame:
     """doc_id, paragraph, family, probability, overlap, confirmed: one row per paragraph that is predicted to be of a family."""
     spark = documents.sparkSession
-    weights, intercepts, temperature = train()
+    weights, intercepts, temperature = train(sample(documents, text))
     # The model's own table: a few thousand rows, whatever the input.
     table = spark.createDataFrame([(g, [round(float(v), 9) for v in w]) for g, w in weights.items()], "gram string, w array<double>")
     needed = telling(weights, intercepts)
     # The edges of a word are those that WORDS and the dots leave.
-    pattern = "(?<![a-z0-9])(?:" + "|".join(x.replace(".", "[.]") for x in sorted(needed)) + ")(?![a-z0-9])"
-    rows = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(F.lower(F.col(text)), "\n")).alias("paragraph", "line"))
-    # Plain substrings first: every telling word contains one of these.
-    stems = [a for a in needed if not any(b != a and b in a for b in needed)]
+    pattern = "(?<![a-z0-9])(?:" + "|".join("[^a-z0-9]++".join(w.replace(".", "[.]") for w in x.split()) for x in sorted(needed)) + ")(?![a-z0-9])"
+    rows = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(F.lower(F.col(text)), BREAK)).alias("paragraph", "line"))
+    # Plain substrings first: every telling n-gram contains one of these words.
+    longest = {max(x.split(), key=len) for x in needed}
+    stems = sorted(a for a in longest if not any(b != a and b in a for b in longest))
     rows = rows.filter(reduce(or_, (F.col("line").contains(x) for x in stems))).filter(F.col("line").rlike(pattern))
     rows = rows.select("doc_id", "row", "paragraph", F.filter(F.transform(F.split("line", WORDS), lambda w: F.regexp_replace(w, r"^\.+|\.+$", "")), lambda w: w != "").alias("words"))
 
     def every(n: int):
         return F.expr(f"case when size(words) >= {n} then transform(sequence(0, size(words) - {n}), i -> array_join(slice(words, i + 1, {n}), ' ')) else cast(array() as array<string>) end")
 
-    rows = rows.withColumn("grams", F.array_distinct(F.concat(every(1), every(2), every(3))))
+    rows = rows.withColumn("grams", F.array_distinct(F.filter(F.concat(every(1), every(2), every(3)), lambda g: g.isin(*weights))))
     # Template comparison: the share of a template's word pairs that the paragraph has.
     pairs = "case when size(words) >= 2 then transform(sequence(0, size(words) - 2), i -> array_join(slice(words, i + 1, 2), ' ')) else cast(array() as array<string>) end"
     wanted = sorted({f"{a} {b}" for texts in TEMPLATES.values() for t in texts for a, b in zip(t.split(), t.split()[1:], strict=False)})
