@@ -4,6 +4,14 @@ Quality rules drop rejected documents and take failing lines out of the others;
 near-duplicate detection keeps one document of each group; decontamination drops
 documents that hold a benchmark item; secret scans replace secrets in the texts;
 mixing says how many words of every document the training mix takes.
+
+Cases: rows, not doc_ids, are what is kept or dropped, so rows with a null or a
+shared doc_id are judged by their own texts; a null or blank text fails the quality
+rules, and reaching a later stage it is linked with none but blank rows of its own
+doc_id, holds nothing and has no words to take; of equal rows one is kept, but of
+rows with a null doc_id all, as nothing says that they are one document; a null
+source is a source of its own; an empty table gives no rows; extra columns of any
+names pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -20,26 +28,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The documents with ``row``, a key of their own: a doc_id can be null or stand for several texts."""
-    return scratch.cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    """row (a key of its own: a doc_id can be null or stand for several texts), id, text, and doc with all columns."""
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    return scratch.cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), "text", doc), "rows")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "near_dedup")
     own = rows(docs, scratch)
-    without = own.filter("doc_id is null").select("row")  # linked with nothing
-    groups = neardup.near_duplicates(own.filter("doc_id is not null").select(F.col("row").alias("doc_id"), "text"), scratch)
+    without = own.filter("id is null").select("row")  # linked with nothing
+    groups = neardup.near_duplicates(own.filter("id is not null").select(F.col("row").alias("doc_id"), "text"), scratch)
     # A text without words is linked with none but those of its own doc_id.
     groups = groups.select(F.col("doc_id").alias("row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
-    groups = groups.join(own.select("row", "doc_id", F.xxhash64("text").alias("hash")), "row")
-    first = groups.groupBy("group", F.when(F.col("group").isNull(), F.col("doc_id")).alias("blank")).agg(F.min(F.struct("doc_id", "hash", "row")).alias("first"))
-    return own.join(first.select("first.row").union(without), "row", "left_semi").select(*docs.columns)
+    groups = groups.join(own.select("row", "id", F.xxhash64("text").alias("hash")), "row")
+    first = groups.groupBy("group", F.when(F.col("group").isNull(), F.col("id")).alias("blank")).agg(F.min(F.struct("id", "hash", "row")).alias("first"))
+    return own.join(first.select("first.row").union(without), "row", "left_semi").select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    own = rows(docs, Scratch(spark, "decontamination")).withColumnRenamed("doc_id", "id").withColumnRenamed("row", "doc_id")
+    own = rows(docs, Scratch(spark, "decontamination")).select(F.col("row").alias("doc_id"), "text", "doc")
     clean = decontaminate.decontaminate(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return clean.drop("doc_id").withColumnRenamed("id", "doc_id").select(*docs.columns)
+    return clean.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,6 +74,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = scratch.cut(stage(spark, docs, sf_dir), f"{k}-{name}")
+        if k:
+            scratch.drop(f"{k - 1}-{STAGES[k - 1][0]}")  # read by nothing any more
     return docs
 
 
