@@ -387,7 +387,8 @@ def _redact(weights, steps, cues, columns, at, mark):
 def redact(documents: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All documents, with every span found in them replaced; n_chars, if there, follows the text."""
     weights, steps = train()
-    out = documents.mapInArrow(_redact(weights, steps, cue_hashes(), documents.columns, documents.columns.index(text), mark), documents.schema)
+    plain = documents.toDF(*(f"c{j}" for j in range(len(documents.columns))))  # of names that need no quotes
+    out = plain.mapInArrow(_redact(weights, steps, cue_hashes(), documents.columns, documents.columns.index(text), mark), documents.schema)
     return out.withColumn("n_chars", F.length(text).cast(dict(documents.dtypes)["n_chars"])) if "n_chars" in documents.columns else out
 
 
