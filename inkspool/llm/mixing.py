@@ -18,7 +18,7 @@ last, a source without words has target 0 and is not drawn from; equal rows are
 distinct documents. Extra columns are ignored. An empty table gives no rows.
 
 Scale: prefix sums run in ranges of about RANGE_DOCS documents within a source,
-dealt by a digest of id and text, never over a whole source in one task; sources
+dealt by a digest of id, size and the text's beginning, never over a whole source in one task; sources
 are sorted in one task, one short row each, and so are the shards of a source
 (their counts). Slots are dealt to a number of tasks that follows from their
 number. Only one-row-per-source tables are broadcast.
@@ -40,11 +40,13 @@ SHARE_PERCENT = 150
 MOST_PASSES = 2
 #: Documents in a range of the prefix sums, about.
 RANGE_DOCS = 2_048
+#: Characters of a text, beside its id and size, in the digest that deals and orders the documents of a source.
+DIGEST_CHARS = 64
 #: Slots of an output shard; slots that one task makes, about.
 SHARD_SLOTS = 65_536
 TASK_SLOTS = 262_144
 #: Rounds of the permutations, and the prime of their round function.
-ROUNDS = 24
+ROUNDS = 16
 PRIME = (1 << 31) - 1
 
 
@@ -55,7 +57,15 @@ def digits(text: Column, at: int, many: int) -> Column:
 
 def words(text: Column) -> Column:
     """The number of words, 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    inner = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.when(F.length(inner) > 0, F.size(F.split(inner, r"[\x20\x09-\x0D]+"))).otherwise(0).cast("long")
+
+
+def spaced(text: Column) -> Column:
+    """The words, one space apart."""
+    for mark in "\n\r\t\x0b\f":
+        text = F.replace(text, F.lit(mark), F.lit(" "))
+    return F.trim(F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, "\x20{2,}", " ")).otherwise(text))
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -90,22 +100,25 @@ def placed(documents: DataFrame, columns: list[str]) -> DataFrame:
     sums = docs.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "range", F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("range_start"))
-    inside = Window.partitionBy("source", "range").orderBy("digest", "row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("digest", "h1", "h2", "row").rowsBetween(Window.unboundedPreceding, -1)
     docs = docs.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     docs = docs.alias("d").join(sums.alias("s"), (F.col("d.range") == F.col("s.range")) & F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.*", (F.col("before") + F.col("range_start")).alias("start"))
     return docs.select(*columns, "start")
 
 
-def permuted(index: Column, blocks: Column, keys: Column) -> Column:
-    """The index's place under the permutation of 0..blocks-1 that the keys (a, b) give: by each, it may be swapped with its mirror at a."""
+def permuted(rows: DataFrame) -> DataFrame:
+    """rows (x, blocks, keys) with x put in its place by the permutation of 0..blocks-1 that the
+    keys (a, b) give: by each of them, x may be swapped with its mirror at a.
 
-    def swap(x: Column, key: Column) -> Column:
-        mirror = F.pmod(key["a"] - x, blocks)
-        top = F.greatest(x, mirror)
-        mixed = (top % PRIME + F.floor(top / PRIME) * 69_621 + key["b"]) % PRIME
-        return F.when(F.floor(mixed * mixed % PRIME * mixed % PRIME / 4_096) % 2 == 1, mirror).otherwise(x)
-
-    return F.aggregate(keys, index, swap)
+    Two projections a round, as each needs its values several times: column
+    expressions that stay compiled, where a loop over the keys would not.
+    """
+    others = [c for c in rows.columns if c != "x"]
+    for i in range(ROUNDS):
+        rows = rows.withColumn("mirror", F.expr(f"pmod(keys[{i}].a - x, blocks)"))
+        mixed = f"((greatest(x, mirror) % {PRIME}L + greatest(x, mirror) div {PRIME}L * 69621L + keys[{i}].b) % {PRIME}L)"
+        rows = rows.select(*others, F.expr(f"if({mixed} * {mixed} % {PRIME}L * {mixed} % {PRIME}L div 4096L % 2L = 1L, mirror, x)").alias("x"))
+    return rows
 
 
 def draws(sources: DataFrame, seed: int = 0) -> DataFrame:
@@ -133,36 +146,43 @@ def draws(sources: DataFrame, seed: int = 0) -> DataFrame:
     full = full.repartition(tasks)  # a number of its own, which is not made smaller because these rows are few
     full = full.withColumn("slot", F.explode(F.expr("sequence(from, from + most - 1)")))
     full = full.withColumn("pass", F.expr("slot div blocks")).join(F.broadcast(keys), ["rank", "pass"])
-    return full.select("rank", "shard", "slot", "pass", permuted(F.expr("slot % blocks"), F.col("blocks"), F.col("keys")).alias("block"))
+    return permuted(full.select("rank", "shard", "slot", "pass", "blocks", "keys", F.expr("slot % blocks").alias("x"))).select("rank", "shard", "slot", "pass", F.col("x").alias("block"))
 
 
 def pieces(documents: DataFrame) -> DataFrame:
-    """One row per document and block that it has words in: rank, block, start, row, doc_id, text (the words, one space apart)."""
+    """One row per document and block that it has words in: rank, block, start, row, doc_id, text (the words, one space apart), n (their number)."""
     lead = F.expr(f"cast({BLOCK_WORDS} - start % {BLOCK_WORDS} as int)")  # words up to the next block
     head = F.call_function("substring_index", "words", F.lit(" "), lead)
     out = documents.filter("size > 0").withColumn("head", head)
     rest = F.regexp_extract_all(F.substring("words", F.length("head") + 2, F.length("words")), F.lit(f"((?:[^ ]++ ?+){{1,{BLOCK_WORDS}}}+)"), F.lit(1))
-    out = out.select("rank", "start", "row", "doc_id", F.posexplode(F.concat(F.array("head"), rest)).alias("at", "text"))
-    return out.select("rank", F.expr(f"start div {BLOCK_WORDS} + at").alias("block"), "start", "row", "doc_id", F.rtrim("text").alias("text"))
+    out = out.select("rank", "start", "size", "row", "doc_id", F.posexplode(F.concat(F.array("head"), rest)).alias("at", "text"))
+    out = out.withColumn("block", F.expr(f"start div {BLOCK_WORDS} + at"))
+    n = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * BLOCK_WORDS) - F.greatest("start", F.col("block") * BLOCK_WORDS)
+    return out.select("rank", "block", "start", "row", "doc_id", F.rtrim("text").alias("text"), n.alias("n"))
 
 
 def mix(documents: DataFrame, text: str = "text", seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(sources, placed documents, draws, words of the documents): together they say which words go where."""
-    # Texts are read for their sizes, and again for the blocks, by a digest of doc_id and content: equal rows have equal texts.
-    digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))).cast("binary")).alias("digest")
-    sized = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", words(F.col(text)).alias("size"), digest)
-    short = Scratch(documents.sparkSession, "mixing").cut(sized, "sizes")
-    texts = documents.select(digest, F.trim(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", " ")).alias("words")).filter("words <> ''")
-    sources = targets(short)
-    at = placed(short, ["row", "doc_id", "source", "size", "digest"])
+    # Texts are read for their sizes, and again for the blocks, by doc_id and content: equal rows have equal texts.
+    keys = [F.coalesce("doc_id", F.lit(-1)).alias("h0"), F.xxhash64(F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(text)).alias("h2")]
+    begins = F.coalesce(F.substring(text, 1, DIGEST_CHARS), F.lit(""))
+    sized = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", words(F.col(text)).alias("size"), begins.alias("begins"), *keys)
+    sized = sized.withColumn("digest", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "begins").cast("binary"))).drop("begins")
+    scratch = Scratch(documents.sparkSession, "mixing")
+    short = scratch.cut(sized, "sizes")
+    texts = documents.select(*keys, spaced(F.col(text)).alias("words")).filter("words <> ''")
+    sources = scratch.cut(targets(short), "sources")
+    at = placed(short, ["row", "doc_id", "source", "size", "h0", "h1", "h2"])
+    # A table: a filter on blocks, pushed down into the rounds of the permutation, would double its size with each of them.
+    drawn = scratch.cut(draws(sources, seed), "draws")
     at = at.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    return sources, at.select("d.*", "rank", "source_size", "target"), draws(sources, seed), texts.groupBy("digest").agg(F.first("words").alias("words"))
+    return sources, at.select("d.*", "rank", "source_size", "target"), drawn, texts.groupBy("h0", "h1", "h2").agg(F.first("words").alias("words"))
 
 
 def _mixed(at: DataFrame, drawn: DataFrame, texts: DataFrame) -> DataFrame:
     # The planner takes plans and draws for as small as the sources they come from; they grow with the words and must not be broadcast.
-    placed_texts = at.select("row", "doc_id", "rank", "start", "size", "digest").hint("merge").join(texts, "digest")
-    blocks = pieces(placed_texts).groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("start", "row", "doc_id", "text"))).alias("parts"))
+    placed_texts = at.select("row", "doc_id", "rank", "start", "size", "h0", "h1", "h2").hint("merge").join(texts, ["h0", "h1", "h2"])
+    blocks = pieces(placed_texts).groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("start", "row", "doc_id", "text", "n"))).alias("parts"))
     return drawn.hint("merge").join(blocks, ["rank", "block"]).select("shard", "rank", "slot", "pass", "block", "parts")
 
 
@@ -177,7 +197,7 @@ def taken(documents: DataFrame, text: str = "text", seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words of each document in the rows of the mix."""
     _, at, drawn, texts = mix(documents, text, seed)
     parts = _mixed(at, drawn, texts).select(F.explode("parts").alias("part"))
-    used = parts.groupBy("part.row").agg(F.sum(words(F.col("part.text"))).alias("used")).hint("merge")
+    used = parts.groupBy("part.row").agg(F.sum("part.n").alias("used")).hint("merge")
     return at.join(used, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("used", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -197,8 +217,8 @@ def mixing_sql(documents: str = "documents", seed: int = 0) -> str:
     )
     return rf"""
 with sized as (
-  select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-    md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')) as digest from {documents}),
+  select doc_id, source, own as size, md5(coalesce(cast(doc_id as varchar), '') || ':' || own || ':' || coalesce(substr(text, 1, {DIGEST_CHARS}), '')) as digest
+  from (select doc_id, source, text, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as own from {documents})),
 ranges as (select greatest(1, cast(ceil(count(*) / {RANGE_DOCS}) as bigint)) as n from sized),
 each as (
   select *, case rnk % 3 when 0 then {WEIGHTS[0]} when 1 then {WEIGHTS[1]} else {WEIGHTS[2]} end as weight, {MOST_PASSES} * source_size as cap

@@ -394,6 +394,7 @@ def test_mixing_makes_the_shards(spark, docs, empty):
     counts = collections.Counter()
     for r in rows:
         counts[r.source] += len(r.text.split(" "))
+    assert all(len(p.text.split(" ")) == p.n for r in mixing._mixed(at, drawn, mixing.mix(docs)[3]).collect() for p in r.parts)
     sums = mixing.taken(docs).alias("t").join(docs.select("doc_id", "source").distinct(), "doc_id").groupBy("source").sum("taken").collect()
     assert counts == {r[0]: r[1] for r in sums} and mixing.mixed(empty).count() == 0
 

@@ -15,7 +15,8 @@ SCHEMA = "doc_id long, text string, source string"
 def test_permutations_are_whole_and_scattered(spark):
     for n in (1, 2, 3, 7, 64, 1000):
         keys = F.array(*(F.struct((mixing.digits(F.lit(f"k{i}"), 1, 13) % n).alias("a"), mixing.digits(F.lit(f"k{i}"), 14, 7).alias("b")) for i in range(mixing.ROUNDS)))
-        got = [r[0] for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), keys)).collect()]
+        rows = spark.range(n).select("id", F.col("id").alias("x"), F.lit(n).cast("long").alias("blocks"), keys.alias("keys"))
+        got = [r.x for r in mixing.permuted(rows).orderBy("id").collect()]
         assert sorted(got) == list(range(n))
     steps = collections.Counter((b - a) % 1000 for a, b in zip(got, got[1:]))
     assert max(steps.values()) < 20  # no stride
@@ -50,7 +51,7 @@ def test_ranges_are_even_whatever_the_ids(spark, monkeypatch, stride):
     monkeypatch.setattr(mixing, "RANGE_DOCS", 100)
     data = [(k * stride if k % 2 else None, f"a{k} b", "hot" if k % 3 else None) for k in range(1300)]
     df = spark.createDataFrame(data, SCHEMA)
-    sized = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", mixing.words(F.col("text")).alias("size"), F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").cast("binary")).alias("digest"))
+    sized = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", mixing.words(F.col("text")).alias("size"), F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(2), "text").cast("binary")).alias("digest"), F.lit(0).alias("h1"), F.lit(0).alias("h2"))
     at = mixing.placed(sized, ["digest", "source"])
     ranges = at.groupBy("source", (F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % 13).alias("r")).count().collect()
     assert len(ranges) == 26 and max(r["count"] for r in ranges) < 120
