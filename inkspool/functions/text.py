@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The digits of a batch date and the tail of a hash in a file name (fixed patterns).
+BATCH, TAIL = r"(?<!\d)(20\d{6})(?:\d{6})?(?!\d)", "__[0-9a-f]{12,64}$"
 #: Styles that a file name can carry, in order of precedence (fixed values).
 STYLES = ("blue", "line", "solid", "outline")
 #: Pixels per unit of an SVG length (fixed values).
@@ -38,10 +40,10 @@ def stem(filename: Column) -> Column:
 
 def file_parts(filename: Column) -> dict[str, Column]:
     """niche, style and batch_date ('' where a name has none)."""
-    name = F.regexp_replace(F.lower(stem(filename)), "__[0-9a-f]{12,64}$", "")
+    name = F.regexp_replace(F.lower(stem(filename)), TAIL, "")
     words = F.split(name, r"(?U)[_\s-]+")
     style = F.coalesce(*(F.when(F.array_contains(words, s), s) for s in STYLES), F.lit(""))
-    digits = F.regexp_extract(name, r"(?<!\d)(20\d{6})(?:\d{6})?(?!\d)", 1)
+    digits = F.regexp_extract(name, BATCH, 1)
     day = F.try_to_date(known(digits), "yyyyMMdd")
     return {"niche": F.element_at(words, 1), "style": style, "batch_date": F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit(""))}
 
@@ -75,21 +77,42 @@ def unfenced(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```[a-zA-Z]*\s*", ""), r"\s*```$", ""))
 
 
-def signature(settings: Column, digits: int = 16) -> Column:
-    """The leading hex digits of the SHA-256 of settings as JSON."""
-    return F.substring(F.sha2(F.to_json(settings), 256), 1, digits)
+def answer(text: Column, schema: str) -> Column:
+    """Model output, fenced or not, as a struct of the schema; null if it is no JSON."""
+    return F.from_json(unfenced(text), schema)
+
+
+def metadata_of(text: Column) -> Column:
+    """Model output, fenced or not, as (title, keywords), cleaned; null if either is unusable."""
+    raw = answer(text, "title string, keywords array<string>")
+    title, keywords = clean_title(raw["title"]), clean_keywords(raw["keywords"])
+    return F.when(title.isNotNull() & keywords.isNotNull(), F.struct(title.alias("title"), keywords.alias("keywords")))
+
+
+def signature(settings: dict[str, Column], digits: int = 16) -> Column:
+    """The leading hex digits of the SHA-256 of settings as JSON, in the order of their names."""
+    return F.substring(F.sha2(F.to_json(F.struct(*(settings[k].alias(k) for k in sorted(settings)))), 256), 1, digits)
+
+
+def cache_key(content: Column, version: str, models: list[str]) -> Column:
+    """The key of cached model output: it changes with content, prompt version and models."""
+    return F.sha2(F.concat(content.cast("binary"), F.lit((version + ",".join(models)).encode())), 256)
 
 
 def pixel_length(value: Column) -> Column:
-    """An SVG length in pixels; null if it is none."""
+    """An SVG length in pixels; null if it is none, or none that is finite and positive."""
     text = F.trim(value)
     pattern = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*(px|pt|pc|in|cm|mm)?$"
     factor = F.create_map(*(F.lit(x) for pair in UNIT_PIXELS.items() for x in pair))[F.regexp_extract(text, pattern, 2)]
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1).try_cast("double") * factor)
+    number = F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1).try_cast("double") * factor)
+    return F.when((number > 0) & (number < float("inf")), number)
 
 
 def short_number(value: Column, places: int = 3) -> Column:
-    """A number as text: rounded half to even, without trailing zeros, never -0."""
-    text = F.bround(value.cast("decimal(28,9)"), places).cast("string")
+    """A number, or its text, as text: the exact decimal rounded half to even, without trailing zeros, never -0.
+
+    Exact are numbers of up to 20 decimal places.
+    """
+    text = F.bround(value.cast("decimal(38,20)"), places).cast("string")
     text = F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
     return F.when(text.isin("-0", ""), "0").otherwise(text)

@@ -26,16 +26,35 @@ def resolve(rows: DataFrame, log: DataFrame, metadata: DataFrame) -> DataFrame:
     titles = index(metadata.select(normal_title(F.col("title")).alias("k"), F.col("filename").alias("file")), "k", "title")
     owners = log.groupBy(F.col("filename").alias("_owner")).agg(F.max(known(F.col("external_id"))).alias("_owned"))
     out = rows.withColumn("_key", normal_title(F.col("title")))
-    out = out.join(ids, known(F.col("external_id")) == F.col("_id"), "left").join(files, known(F.col("filename")) == F.col("_direct"), "left").join(titles, F.col("_key") == F.col("_title"), "left")
+    # Most rows have no id and many no file name: those are not sent to the one task that null keys would hash to.
+    def by(rows: DataFrame, column: str, table: DataFrame, key: str) -> DataFrame:
+        has = known(F.col(column)).isNotNull()
+        found = rows.filter(has).join(table, F.col(column) == F.col(key), "left")
+        return found.unionByName(rows.filter(~has), allowMissingColumns=True)
+
+    out = by(by(out, "external_id", ids, "_id"), "filename", files, "_direct").join(titles, F.col("_key") == F.col("_title"), "left")
     many = F.when(F.col("_id_n") > 0, F.col("_id_n")).when(F.col("_direct").isNotNull(), 1).otherwise(F.coalesce("_title_n", F.lit(0)))
     file = F.when(F.col("_id_n") > 0, F.col("_id_file")).when(F.col("_direct").isNotNull(), F.col("_direct")).otherwise(F.col("_title_file"))
     out = out.withColumn("_many", many).withColumn("file", F.when(many == 1, file))
-    out = out.join(owners, F.col("file") == F.col("_owner"), "left")
+    out = by(out, "file", owners, "_owner")
     clash = known(F.col("external_id")).isNotNull() & F.col("_owned").isNotNull() & (F.col("_owned") != F.col("external_id"))
     outcome = F.when(F.col("_many") == 0, "unmatched").when((F.col("_many") > 1) | clash, "ambiguous").otherwise("matched")
     return out.withColumn("outcome", outcome).select(*rows.columns, "file", "outcome")
 
 
+#: Other names of the columns of observations, in order of precedence (fixed names).
+ALIASES = {"external_id": ("adobe_asset_id", "asset_id", "id"), "filename": ("filename", "Filename"), "observed": ("last_seen", "observed_date"), "title": ("title",), "downloads": ("downloads",), "accepted": ("accepted_date",), "royalty": ("royalty_usd",), "explicit": ("status",)}
+
+
+def named(rows: DataFrame) -> DataFrame:
+    """Scraped rows under the names used here: of each column's other names, the first that holds something."""
+    there = set(rows.columns)
+    columns = [F.coalesce(*(known(F.col(c)) for c in names if c in there), F.lit("")).alias(k) if there & set(names) else F.lit("").alias(k) for k, names in ALIASES.items()]
+    explicit = [F.lower(F.trim(F.col("explicit"))).alias("explicit")]
+    out = rows.select(*(["seq"] if "seq" in there else []), *columns)
+    return out.select(*(c for c in out.columns if c != "explicit"), *explicit)
+
+
 def validate(rows: DataFrame) -> DataFrame:
     """Text rows (downloads, observed, accepted, royalty) with typed dt, d, acc, roy and valid."""
     dt, acc = iso_date(F.col("observed")), iso_date(known(F.col("accepted")))
@@ -58,9 +77,10 @@ def fold(rows: DataFrame, key: str = "file", since: str | None = None) -> DataFr
     dl_latest, dl_date, royalty: of the last row that is not older than the one
     before it; first_seen: the earliest day with evidence of acceptance;
     accepted_date: the first given; status: the last that a row states or implies.
-    since: a column with the date that the key has reached before.
+    since: a column with the date that the key has reached before. The rows are dealt
+    by key once, which serves both windows and the aggregate.
     """
-    ok = monotone(rows, key).filter("ok")
+    ok = monotone(rows.repartition(key), key).filter("ok")
     order = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     evidence = (F.col("explicit") == "accepted") | F.col("acc").isNotNull() | (F.col("d") > 0)
     said = F.when(F.col("explicit").isin(*EXPLICIT), F.col("explicit")).when(evidence, "accepted")
@@ -80,7 +100,7 @@ def fold(rows: DataFrame, key: str = "file", since: str | None = None) -> DataFr
 
 def history(rows: DataFrame, key: str = "file") -> DataFrame:
     """One row per key and day: the last accepted count, and the last royalty known that day."""
-    ok = monotone(rows, key).filter("ok")
+    ok = monotone(rows.repartition(key), key).filter("ok")
     return ok.groupBy(key, "dt").agg(F.max_by("d", "seq").alias("downloads"), F.max_by("roy", F.when(F.col("roy").isNotNull(), F.col("seq"))).alias("royalty"))
 
 

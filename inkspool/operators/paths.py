@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Command letters in the order of the SVG grammar, and numbers (fixed pattern).
 TOKEN = r"[MmZzLlHhVvCcSsQqTtAa]|[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
 
 
@@ -15,13 +16,41 @@ def path_tokens(data: Column) -> Column:
 
 
 def without_repeats(chunks: Column) -> Column:
-    """Path chunks without a line chunk that repeats the one before it."""
-    return F.filter(chunks, lambda c, k: (k == 0) | ~c.startswith("L ") | (c != F.get(chunks, k - 1)))
+    """Path chunks without a line chunk (of one point) that repeats the one before it."""
+    return F.filter(chunks, lambda c, k: (k == 0) | ~c.rlike("^L [^ ]+ [^ ]+$") | (c != F.get(chunks, k - 1)))
 
 
-def artboard(width: Column, height: Column, target: float = 25.0, most_side: int | None = None) -> Column:
-    """(width, height) of about target megapixels at the same aspect, rounded half to even."""
+#: Sides of icon artboards at least, by kind (fixed values).
+ICON_SIDES = {"icon": 50, "icon-sheet": 1000}
+MOST_SIDE, MEGAPIXELS, MOST_ASPECT = 4000, (15.0, 65.0), 1000
+
+
+def target_error(target: float, kind: str = "illustration") -> str | None:
+    """Why a target of so many megapixels cannot be had."""
+    if not 0 < target < float("inf"):
+        return "target must be positive and finite"
+    if kind in ICON_SIDES:
+        return "icons have 16 megapixels at most" if target > MOST_SIDE**2 / 1e6 else None
+    return None if MEGAPIXELS[0] <= target <= MEGAPIXELS[1] else "target must be between 15 and 65 megapixels"
+
+
+def artboard(width: Column, height: Column, target: float = 25.0, kind: str = "illustration") -> Column:
+    """(width, height, error) of about target megapixels at the same aspect, rounded half to even.
+
+    An illustration whose rounded area leaves the range gets a width that brings it
+    back; the sides of an icon have bounds. Where error is set, the sides are null.
+    """
+    if error := target_error(target, kind):
+        raise ValueError(error)
     scale = F.sqrt(F.lit(target * 1e6) / (width * height))
-    if most_side:
-        scale = F.least(scale, F.lit(float(most_side)) / F.greatest(width, height))
-    return F.struct(F.bround(width * scale).cast("long").alias("width"), F.bround(height * scale).cast("long").alias("height"))
+    if kind in ICON_SIDES:
+        scale = F.least(scale, F.lit(float(MOST_SIDE)) / F.greatest(width, height))
+    w, h = (F.greatest(F.lit(1), F.bround(x * scale).cast("long")) for x in (width, height))
+    extreme = F.greatest(width, height) / F.least(width, height) > MOST_ASPECT
+    if kind in ICON_SIDES:
+        error = F.when(extreme, "aspect").when(F.least(w, h) < ICON_SIDES[kind], "sides")
+    else:
+        error = F.when(extreme, "aspect")
+        least, most = (x * 1e6 for x in MEGAPIXELS)
+        w = F.when(w * h < least, F.ceil(F.lit(least) / h)).when(w * h > most, F.floor(F.lit(most) / h)).otherwise(w)
+    return F.struct(F.when(error.isNull(), w).alias("width"), F.when(error.isNull(), h).alias("height"), error.alias("error"))

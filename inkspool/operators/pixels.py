@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,27 +13,65 @@ def color_buckets(pixels: DataFrame, size: int = 8) -> DataFrame:
 
 
 def greedy_palette(buckets: DataFrame, distance: float = 12.0, most: int = 128) -> DataFrame:
-    """Buckets merged into centres, largest first, asset by asset (at most 32^3 buckets each)."""
+    """Buckets merged into centres, largest first, asset by asset (at most 32^3 buckets each); ties go by colour.
+
+    rank: the place of a centre by its pixels, 0 upwards; equal ones stay in the order they were made in.
+    """
     import numpy as np
     import pandas as pd
 
+    from inkspool.raster import merged
+
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["pixels", "r", "g", "b"], ascending=[False, True, True, True])
-        centres: list[list[float]] = []
-        for n, r, g, b in rows[["pixels", "r", "g", "b"]].itertuples(index=False):
-            near = [(sum((x - y) ** 2 for x, y in zip(c[1:], (r, g, b), strict=True)), k) for k, c in enumerate(centres)]
-            best = min(near, default=(np.inf, -1))
-            if best[0] <= distance**2:
-                c = centres[best[1]]
-                centres[best[1]] = [c[0] + n, *((x * c[0] + y * n) / (c[0] + n) for x, y in zip(c[1:], (r, g, b), strict=True))]
-            elif len(centres) < most:
-                centres.append([n, r, g, b])
-        out = pd.DataFrame(centres, columns=["pixels", "r", "g", "b"])
-        out.insert(0, "asset_id", rows["asset_id"].iloc[0])
-        return out.astype({"pixels": "int64"})
+        rows = rows.sort_values(["pixels", "br", "bg", "bb"], ascending=[False, True, True, True])
+        centres, weights = merged(rows[["r", "g", "b"]].to_numpy(float), rows["pixels"].to_numpy(np.int64), distance, most)
+        out = pd.DataFrame(centres, columns=["r", "g", "b"])
+        return out.assign(asset_id=rows["asset_id"].iloc[0], pixels=weights, rank=np.arange(len(out)))[["asset_id", "rank", "pixels", "r", "g", "b"]]
 
     kind = buckets.schema["asset_id"].dataType.simpleString()
-    return buckets.groupBy("asset_id").applyInPandas(merge, f"asset_id {kind}, pixels long, r double, g double, b double")
+    return buckets.groupBy("asset_id").applyInPandas(merge, f"asset_id {kind}, rank long, pixels long, r double, g double, b double")
+
+
+def kmeans(vectors: DataFrame, key: str, vector: str, k: int = 8, rounds: int = 20, seed: int = 42) -> DataFrame:
+    """(key, cluster) by k-means from a fixed seed."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    points = vectors.select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
+    return KMeans(k=k, seed=seed, maxIter=rounds).fit(points).transform(points).select(key, F.col("prediction").alias("cluster"))
+
+
+def significant(palette: DataFrame, total: Column, most: int = 9) -> DataFrame:
+    """The centres of a palette that hold enough of the pixels, the first ``most`` by rank; the first one always."""
+    kept = (F.col("pixels") >= F.greatest(F.lit(3.0), total * 0.00002)) | (F.col("rank") == 0)
+    return palette.filter(kept & (F.col("rank") < most))
+
+
+def quantile(rows: DataFrame, key: str, value: str, share: float, scratch, bins: int = 1024) -> DataFrame:
+    """(key, quantile) exactly, interpolated, without any group in one task.
+
+    Counts per bin narrow down where the two middle values lie, group by group,
+    until a bin holds one distinct value; only bin counts and bounds are ever grouped.
+    """
+    bounds = rows.filter(F.col(value).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))
+    place = (F.col("n") - 1) * share
+    # Two places a group: the values below and above; each with its own bounds and the number of values before them.
+    aims = bounds.select(key, "lo", "hi", F.lit(0).cast("long").alias("before"), (place - F.floor(place)).alias("part"), F.explode(F.array(F.floor(place), F.ceil(place))).alias("at")).distinct()
+    aims = scratch.cut(aims, "aims-0")
+    own = rows.select(key, F.col(value).cast("double").alias("v"))
+    step = 0
+    while not (wide := aims.filter("lo < hi")).isEmpty():
+        step += 1
+        inside = own.join(F.broadcast(wide) if wide.count() < 10_000 else wide, key).filter("v between lo and hi")
+        width = (F.col("hi") - F.col("lo")) / bins
+        counted = inside.withColumn("bin", F.least(F.lit(bins - 1), F.when(width > 0, F.floor((F.col("v") - F.col("lo")) / width)).otherwise(0)))
+        counted = counted.groupBy(key, "at", "part", "before", "bin").agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        ahead = Window.partitionBy(key, "at").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("before", F.col("before") + F.coalesce(F.sum("c").over(ahead), F.lit(0)))
+        found = counted.filter("at >= before and at < before + c").select(key, "lo", "hi", "before", "part", "at")
+        aims = scratch.cut(aims.filter("lo >= hi").unionByName(found), f"aims-{step}")
+    ends = aims.groupBy(key).agg(F.min_by("lo", "at").alias("below"), F.max_by("lo", "at").alias("above"), F.max("part").alias("part"))
+    return ends.select(key, (F.col("below") + (F.col("above") - F.col("below")) * F.col("part")).alias("quantile"))
 
 
 def nearest(vector: Column, centres: list[list[float]]) -> Column:

@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkspool.functions.text import iso_date, known
+
 
 def trailing_rate(points: DataFrame, as_of: date, days: int = 30, slack: int = 7, stale: int = 7, key: str = "item") -> DataFrame:
     """(item, rate) of cumulative points (item, dt, n), one per day: the count gained per ``days`` up to ``as_of``.
@@ -25,6 +27,18 @@ def trailing_rate(points: DataFrame, as_of: date, days: int = 30, slack: int = 7
     return end.select(key, F.when(fresh & (gained >= 0), gained * days / span).alias("rate"))
 
 
+def log_items(log: DataFrame) -> DataFrame:
+    """Report items of a production log, whose cells are text, '' where unknown.
+
+    Downloads: the latest count, else the largest of the 30, 60 and 90 day counts;
+    born: the accepted date, else the first day seen accepted.
+    """
+    count = lambda c: F.coalesce(known(F.col(c)).cast("long"), F.lit(0))
+    downloads = F.coalesce(known(F.col("dl_latest")).cast("long"), F.greatest(*map(count, ("dl_30d", "dl_60d", "dl_90d"))))
+    born = iso_date(F.coalesce(known(F.col("accepted_date")), known(F.col("first_seen_accepted"))))
+    return log.select(F.col("filename").alias("item"), "niche", "status", downloads.alias("downloads"), known(F.col("royalty_usd")).cast("double").alias("royalty"), born.alias("born"))
+
+
 def verdict(decided: Column, acceptance: Column, observed: Column, per_asset: Column, least: int) -> Column:
     return (
         F.when((decided >= least) & (acceptance < 0.4), "FIX QUALITY")

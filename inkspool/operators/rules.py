@@ -12,11 +12,17 @@ ERROR = "struct<error:struct<message:string,details:array<struct<retryDelay:stri
 
 #: Tracing parameters for plain, usual and complex artwork (fixed values).
 TRACING = {
+    "colormode": ("color", "color", "color"),
+    "hierarchical": ("stacked", "stacked", "stacked"),
+    "mode": ("spline", "spline", "spline"),
     "filter_speckle": (2, 4, 8),
-    "corner_threshold": (60, 60, 50),
-    "length_threshold": (2.0, 4.5, 6.0),
     "color_precision": (6, 6, 4),
     "layer_difference": (16, 16, 32),
+    "corner_threshold": (60, 60, 50),
+    "length_threshold": (2.0, 4.5, 6.0),
+    "max_iterations": (10, 10, 10),
+    "splice_threshold": (45, 45, 45),
+    "path_precision": (3, 3, 3),
 }
 
 
@@ -101,6 +107,11 @@ def merged_sources(old: Column, archived: Column) -> Column:
     return F.array_distinct(F.concat(F.coalesce(old, none), F.coalesce(archived, none)))
 
 
+def not_among(values: Column, allowed: list[str]) -> Column:
+    """The values that are not allowed, each once, in their order."""
+    return F.array_except(values, F.array(*map(F.lit, allowed)))
+
+
 def quarantine_path(name: Column, digest: Column) -> Column:
     return F.concat(F.lit("quarantine/"), F.substring(digest, 1, 12), F.lit("/"), F.element_at(F.split(name, "/"), -1))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkspool.functions.text import clean_keywords, clean_title
+
+#: Extensions of images (fixed values).
 IMAGES = (".jpg", ".jpeg", ".png", ".webp")
 
 
@@ -37,14 +41,33 @@ def read_json(spark: SparkSession, path: str, schema: str, default: DataFrame |
     return default if default is not None and not exists(spark, path) else spark.read.schema(schema).json(path, multiLine=True)
 
 
+def _below(path, folder: str):
+    """Whether a file URI lies below a folder, given as a URI or an absolute path."""
+    return F.regexp_replace(path, "^file:/+", "/").startswith(re.sub("^file:/+", "/", folder).rstrip("/") + "/")
+
+
 def read_images(spark: SparkSession, path: str, leave_out: tuple[str, ...] = ()) -> DataFrame:
-    """The image files below a folder, by extension, without those below the given folders."""
+    """The image files below a folder, by extension, without those below the given folders (whole paths).
+
+    A folder to leave out that is the scanned one itself is scanned. ``parts`` is the
+    path in parts: ordered by it, files come as a directory walk meets them.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    lower = F.lower("path")
-    keep = lower.endswith(IMAGES[0]) | lower.endswith(IMAGES[1]) | lower.endswith(IMAGES[2]) | lower.endswith(IMAGES[3])
+    keep = F.lower("path").rlike("(?:" + "|".join(re.escape(x) for x in IMAGES) + ")$")
+    plain = lambda p: re.sub("^file:/+", "/", p).rstrip("/")
     for folder in leave_out:
-        keep = keep & ~F.col("path").contains(f"/{folder.strip('/')}/")
-    return files.filter(keep)
+        if plain(folder) != plain(path):
+            keep = keep & ~_below(F.col("path"), folder)
+    return files.filter(keep).withColumn("parts", F.split("path", "/"))
+
+
+def read_manual(spark: SparkSession, path: str) -> DataFrame:
+    """Manual metadata, cleaned: Filename, title, keywords, category, source. A name twice, or unusable metadata, fails."""
+    rows = unique_manual(read_csv(spark, path, ["Filename", "Title", "Keywords", "Category"]))
+    title, keywords = clean_title(F.col("Title")), clean_keywords(F.split("Keywords", ","))
+    bad = F.raise_error(F.concat(F.lit("unusable metadata for "), F.col("Filename")))
+    category = F.col("Category") if "Category" in rows.columns else F.lit("")
+    return rows.select("Filename", F.coalesce(title, bad.cast("string")).alias("title"), F.coalesce(keywords, bad.cast("array<string>")).alias("keywords"), category.alias("category"), F.lit("manual").alias("source"))
 
 
 def unique_manual(rows: DataFrame, key: str = "Filename") -> DataFrame:
@@ -55,22 +78,45 @@ def unique_manual(rows: DataFrame, key: str = "Filename") -> DataFrame:
 
 
 def replace_parquet(df: DataFrame, path: str) -> None:
-    """Writes beside the target and then takes its place; what was there stays until the new table is whole."""
+    """Writes beside the target and then takes its place; what was there stays until the new table is whole.
+
+    There is a moment between the two renames without a target: readers may see it.
+    If the second rename fails, the old table is put back.
+    """
     spark = df.sparkSession
     staged, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
     df.write.parquet(staged)
+    _swap(spark, staged, path, old)
+
+
+def _swap(spark: SparkSession, staged: str, path: str, old: str) -> None:
     fs, target = _fs(spark, path)
     new, gone = _fs(spark, staged)[1], _fs(spark, old)[1]
-    if fs.exists(target):
-        fs.rename(target, gone)
+    there = fs.exists(target)
+    if there and not fs.rename(target, gone):
+        raise OSError(f"cannot move {path} away")
     if not fs.rename(new, target):
+        if there:
+            fs.rename(gone, target)
         raise OSError(f"cannot move {staged} to {path}")
-    fs.delete(gone, True)
+    if there:
+        fs.delete(gone, True)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One CSV file in a folder: header, minimal quotes, CRLF, nothing for empty cells."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", lineSep="\r\n")
+def write_csv(df: DataFrame, path: str, order: str | None = None) -> None:
+    """One CSV file at a path: header, minimal quotes, CRLF, nothing for empty cells; sorted by a column.
+
+    One task writes it, as it is one file: for tables that people open. It takes the
+    place of an earlier one when it is whole.
+    """
+    spark = df.sparkSession
+    staged = f"{path}.{uuid.uuid4().hex}.new"
+    one = df.repartition(1).sortWithinPartitions(order) if order else df.coalesce(1)
+    one.write.csv(staged, header=True, escape='"', emptyValue="", lineSep="\r\n")
+    fs, folder = _fs(spark, staged)
+    part = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    _swap(spark, part.toString(), path, f"{path}.{uuid.uuid4().hex}.old")
+    fs.delete(folder, True)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -38,7 +38,8 @@ def test_text_functions(spark):
 
 def test_asset_groups_and_status(spark):
     files = spark.createDataFrame([("in/b.png", b"x"), ("in/a b.png", b"x"), ("in/a/z.png", b"y")], "path string, content binary")
-    assert sorted(r.sources for r in assets.content_groups(files).collect()) == [["in/a b.png", "in/b.png"], ["in/a/z.png"]]
+    groups, members = assets.content_groups(files)
+    assert sorted((r.first_source, r.copies) for r in groups.collect()) == [("in/a b.png", 2), ("in/a/z.png", 1)] and members.count() == 3
     got = spark.createDataFrame([("ai", True), ("ai", None), ("dummy", True), (None, False)], "s string, p boolean").select(assets.status(F.col("s"), F.col("p"))).collect()
     assert [r[0] for r in got] == ["ready", "needs_review", "needs_metadata", "needs_metadata"]
     names = spark.createDataFrame([("a",), ("a",), (None,)], "n string")
