@@ -115,6 +115,8 @@ def permuted(rows: DataFrame) -> DataFrame:
     """
     others = [c for c in rows.columns if c != "x"]
     for i in range(ROUNDS):
+        if i % 4 == 0:  # moves no row, and ends a piece of compiled code that would become too long for the machine's compiler
+            rows = rows.coalesce(1 << 20)
         rows = rows.withColumn("mirror", F.expr(f"pmod(keys[{i}].a - x, blocks)"))
         mixed = f"((greatest(x, mirror) % {PRIME}L + greatest(x, mirror) div {PRIME}L * 69621L + keys[{i}].b) % {PRIME}L)"
         rows = rows.select(*others, F.expr(f"if({mixed} * {mixed} % {PRIME}L * {mixed} % {PRIME}L div 4096L % 2L = 1L, mirror, x)").alias("x"))
