@@ -16,6 +16,8 @@ names pass through all stages but the last.
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,35 +29,55 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.clean(docs)
 
 
+_made: list[Scratch] = []
+
+
+def scratch_of(spark: SparkSession, stage: str, docs: DataFrame) -> Scratch:
+    """A folder for a stage's intermediate tables. Those of the stages before go: their
+    results have been written by now, unless docs still reads from them or is to be cached."""
+    if not docs.is_cached:
+        files = docs.inputFiles()
+        for old in [x for x in _made if not any(x.root in f for f in files)]:
+            old.drop_all()
+            _made.remove(old)
+        gc.collect()
+        spark._jvm.System.gc()  # lets the cleaner delete shuffles that nothing refers to any more
+    _made.append(Scratch(spark, stage))
+    return _made[-1]
+
+
 def rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """row (a key of its own: a doc_id can be null or stand for several texts), id, text, and doc with all columns."""
+    """row (a key of its own: a doc_id can be null or stand for several texts) and doc with all columns."""
     doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
-    return scratch.cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), "text", doc), "rows")
+    return scratch.cut(docs.select(F.monotonically_increasing_id().alias("row"), doc), "rows")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark, "near_dedup")
+    scratch = scratch_of(spark, "near_dedup", docs)
     own = rows(docs, scratch)
-    without = own.filter("id is null").select("row")  # linked with nothing
-    groups = neardup.near_duplicates(own.filter("id is not null").select(F.col("row").alias("doc_id"), "text"), scratch)
+    keys = own.select("row", F.col("doc.doc_id").alias("id"), F.col("doc.text").alias("text"))
+    without = keys.filter("id is null").select("row")  # linked with nothing
+    groups = neardup.near_duplicates(keys.filter("id is not null").select(F.col("row").alias("doc_id"), "text"), scratch)
     # A text without words is linked with none but those of its own doc_id.
     groups = groups.select(F.col("doc_id").alias("row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
-    groups = groups.join(own.select("row", "id", F.xxhash64("text").alias("hash")), "row")
+    groups = groups.join(keys.select("row", "id", F.xxhash64("text").alias("hash")), "row")
     first = groups.groupBy("group", F.when(F.col("group").isNull(), F.col("id")).alias("blank")).agg(F.min(F.struct("id", "hash", "row")).alias("first"))
     return own.join(first.select("first.row").union(without), "row", "left_semi").select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    own = rows(docs, Scratch(spark, "decontamination")).select(F.col("row").alias("doc_id"), "text", "doc")
-    clean = decontaminate.decontaminate(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return clean.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
+    own = rows(docs, scratch_of(spark, "decontamination", docs))
+    found = decontaminate.contaminated(own.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return own.join(found.select(F.col("doc_id").alias("row")).distinct(), "row", "left_anti").select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scratch_of(spark, "secret_scan", docs)
     return secrets.redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scratch_of(spark, "mixing", docs)
     return mixing.taken(docs)
 
 
