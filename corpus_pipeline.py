@@ -38,8 +38,9 @@ def scratch_of(spark: SparkSession, stage: str, docs: DataFrame) -> Scratch:
     if not docs.is_cached:
         files = docs.inputFiles()
         for old in [x for x in _made if not any(x.root in f for f in files)]:
-            old.drop_all()
             _made.remove(old)
+            if old.spark is spark:  # else its session has ended, and its tables with it
+                old.drop_all()
         gc.collect()
         spark._jvm.System.gc()  # lets the cleaner delete shuffles that nothing refers to any more
     _made.append(Scratch(spark, stage))
