@@ -138,7 +138,7 @@ def eps_counts(results: DataFrame) -> DataFrame:
 
 
 def newest(names: DataFrame, name: str = "name", pattern: str = "adobe_scrape_%.csv") -> DataFrame:
-    """The last of the names of a pattern, in their order; no row if there is none."""
+    """The last of the names of a pattern (the default is a fixed value), in their order; no row if there is none."""
     return names.filter(F.col(name).like(pattern)).agg(F.max(name).alias(name)).filter(F.col(name).isNotNull())
 
 
