@@ -106,13 +106,14 @@ def repaired(files: DataFrame, manifest: DataFrame, metadata: DataFrame, outputs
     together; manifest: (asset_id, svg, passed); metadata: (svg, source); outputs:
     (svg) that exist. The first file of a content decides. An output without a
     manifest row goes by the file's name, has no evidence of quality and so goes to
-    review; one without metadata of a model stays pending.
+    review; one without metadata of a model stays pending. Contents can share an SVG:
+    its metadata count once, as a model's if any row of them is.
     """
     first = files.groupBy("asset_id").agg(F.min_by("path", "parts").alias("path"))
     out = first.join(manifest.select("asset_id", F.col("svg").alias("_svg"), "passed"), "asset_id", "left")
     out = out.withColumn("svg", F.coalesce(F.nullif(F.col("_svg"), F.lit("")), F.concat(stem(F.col("path")), F.lit(".svg")))).drop("_svg")
-    out = out.join(outputs.select("svg").distinct(), "svg", "left_semi").join(metadata.select("svg", F.col("source").alias("_source")), "svg", "left")
-    status = F.when(~F.coalesce(F.col("_source") == "ai", F.lit(False)), "needs_metadata").when(F.coalesce("passed", F.lit(False)), "ready").otherwise("needs_review")
+    out = out.join(outputs.select("svg").distinct(), "svg", "left_semi").join(metadata.filter("source = 'ai'").select("svg", F.lit(True).alias("_ai")).distinct(), "svg", "left")
+    status = F.when(F.col("_ai").isNull(), "needs_metadata").when(F.coalesce("passed", F.lit(False)), "ready").otherwise("needs_review")
     return out.select("asset_id", "path", "svg", status.alias("status"))
 
 
