@@ -423,7 +423,9 @@ def draft_title(spark, d):
 @query("""select label as asset_id, (cast(floor(embedding[1] * 127 + 128) as int) // 8) as br, (cast(floor(embedding[2] * 127 + 128) as int) // 8) as bg, (cast(floor(embedding[3] * 127 + 128) as int) // 8) as bb, count(*) as pixels,
   avg(cast(floor(embedding[1] * 127 + 128) as int)) as r, avg(cast(floor(embedding[2] * 127 + 128) as int)) as g, avg(cast(floor(embedding[3] * 127 + 128) as int)) as b from embeddings group by 1, 2, 3, 4""")
 def bucket_histogram(spark, d):
-    colors = (F.floor(F.element_at("embedding", j) * 127 + 128).cast("int").alias(c) for j, c in enumerate("rgb", 1))
+    """Colours of the first three numbers, in single precision throughout as in SQL: Spark takes a float times an integer in double."""
+    single = lambda n: F.lit(n).cast("float")
+    colors = (F.floor(F.get("embedding", j) * single(127) + single(128)).cast("int").alias(c) for j, c in enumerate("rgb"))
     return pixels.color_buckets(table(spark, d, "embeddings").select(F.col("label").alias("asset_id"), *colors))
 
 
