@@ -445,9 +445,12 @@ boxes as (select vec_id, min(x) filter (v > 0.15) / 8 as x0, min(y) filter (v >
 
 
 def _boxes(spark, d):
-    px = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
+    """Boxes of 8 x 8 pixels, a vector without any included; the bound has the type of the numbers, as in SQL."""
+    e = table(spark, d, "embeddings")
+    bound = F.lit(0.15).cast(e.schema["embedding"].dataType.elementType)
+    px = e.select("vec_id", F.posexplode_outer(F.slice("embedding", 1, 64)).alias("i", "v"))
     px = px.select("vec_id", (F.col("i") % 8).alias("x"), F.floor(F.col("i") / 8).alias("y"), "v")
-    return pixels.ink_box(px, ["vec_id"], F.col("v") > 0.15, 8, 8)
+    return pixels.ink_box(px, ["vec_id"], F.col("v") > bound, 8, 8)
 
 
 @query(f"with {_BOX} select * from boxes")
